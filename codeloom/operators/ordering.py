@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from codeloom.session import settle
 
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+
 
 def running_total(
     df: DataFrame, by: Sequence[str], order: Sequence[str], weight: Column | None = None, out: str = "position"
@@ -21,23 +23,25 @@ def running_total(
     must see the same slices. (``by``, ``order``) must be unique.
     """
     weight = F.lit(1) if weight is None else weight
-    keys = list(by)
+    # One struct column stands for the group: structs holding nulls compare as equal.
+    group = F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
     placed = settle(
-        df.repartitionByRange(*[F.col(c) for c in (*keys, *order)]).withColumn("_slice", F.spark_partition_id())
+        df.repartitionByRange(*[F.col(c) for c in (*by, *order)])
+        .withColumn("_slice", F.spark_partition_id())
+        .withColumn("_group", group)
     )
-    totals = placed.groupBy("_slice", *keys).agg(F.sum(weight).alias("_total"))
+    totals = placed.groupBy("_slice", "_group").agg(F.sum(weight).alias("_total"))
     # One row per slice and group, so this window stays small however large a group is.
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = totals.select("_slice", *keys, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_shift"))
+    earlier = Window.partitionBy("_group").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = totals.select("_slice", "_group", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_shift"))
     inside = (
-        Window.partitionBy("_slice", *keys)
+        Window.partitionBy("_slice", "_group")
         .orderBy(*[F.col(c) for c in order])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = placed.withColumn("_local", F.sum(weight).over(inside))
-    same = [F.col("l._slice") == F.col("r._slice")] + [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    joined = local.alias("l").join(shifts.alias("r"), same)
-    return joined.select(*[F.col(f"l.{c}") for c in df.columns], (F.col("_local") + F.col("_shift")).alias(out))
+    joined = local.join(shifts, ["_slice", "_group"])
+    return joined.select(*df.columns, (F.col("_local") + F.col("_shift")).alias(out))
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -64,29 +68,22 @@ def describe_numeric(df: DataFrame, column: str) -> DataFrame:
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
     tally = values.groupBy("v").agg(F.count("*").alias("n"))
     placed = running_total(tally, [], ["v"], F.col("n"), "upto").withColumn("start", F.col("upto") - F.col("n"))
-    moments = placed.agg(
+    moments = placed.agg(F.sum("n").alias("count"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"))
+    count, mean = moments.select("count").scalar(), moments.select("mean").scalar()
+    deviation = F.col("v") - mean
+    ends = {}
+    for name, share in QUARTILES.items():
+        at = (count - 1) * F.lit(share)
+        for end, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            covers = (F.col("start") <= rank) & (rank < F.col("upto"))
+            ends[f"{name}_{end}"] = F.max(F.when(covers, F.col("v")))
+    found = placed.agg(
         F.sum("n").alias("count"),
         (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.sqrt(F.sum(deviation * deviation * F.col("n")) / F.nullif(F.sum("n") - 1, F.lit(0))).alias("std"),
         F.min("v").alias("min"),
         F.max("v").alias("max"),
-    )
-    spread = placed.join(F.broadcast(moments), how="inner")  # one row on the right
-    deviation = F.col("v") - F.col("mean")
-    quartiles = {}
-    for name, share in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
-        at = (F.col("count") - 1) * F.lit(share)
-        for end, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            covers = (F.col("start") <= rank) & (rank < F.col("upto"))
-            quartiles[f"{name}_{end}"] = F.max(F.when(covers, F.col("v")))
-    found = spread.agg(
-        F.max("count").alias("count"),
-        F.max("mean").alias("mean"),
-        F.max("min").alias("min"),
-        F.max("max").alias("max"),
-        F.sqrt(
-            F.sum(deviation * deviation * F.col("n")) / F.nullif(F.max("count") - 1, F.lit(0))
-        ).alias("std"),
-        *[expr.alias(name) for name, expr in quartiles.items()],
+        *[expr.alias(name) for name, expr in ends.items()],
     )
 
     def between(name: str, share: float) -> Column:
@@ -94,7 +91,5 @@ def describe_numeric(df: DataFrame, column: str) -> DataFrame:
         return F.col(f"{name}_lo") + (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * (at - F.floor(at))
 
     return found.select(
-        "count", "mean", "std", "min",
-        between("p25", 0.25).alias("p25"), between("p50", 0.5).alias("p50"), between("p75", 0.75).alias("p75"),
-        "max",
+        "count", "mean", "std", "min", *[between(n, p).alias(n) for n, p in QUARTILES.items()], "max"
     )
