@@ -51,9 +51,7 @@ def evaluate(
     best = any_mapping(pred.filter(F.col("layer") == 2), truth, spec, key, code)
     flags = [c for c in ("exact_match_any", "full_match_any") if c in best.columns]
     joined = pred.join(profile, code, "left").join(
-        best.select(*[F.col(k).alias(f"_b_{k}") for k in key], *flags),
-        [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in key],
-        "left",
+        best.select(*key, *flags), list(key), "left"
     )
     gone = F.lit(False)
     if exclude_missing:
