@@ -85,13 +85,13 @@ def distribution(df: DataFrame, code: str, value: str, keep: int = 5, digits: in
 
 
 def distribution_json(df: DataFrame, code: str, value: str, out: str, keep: int = 5) -> DataFrame:
-    """The distribution as JSON text, most frequent first; codes without a valid value do not appear."""
+    """The distribution as a JSON object, most frequent first; codes without a valid value do not appear."""
     top = distribution(df, code, value, keep)
-    entries = F.transform(
-        F.array_sort(F.collect_list(F.struct(F.col("rn"), F.col(value).cast("string").alias("k"), F.col("share")))),
-        lambda e: F.struct(e["k"].alias("key"), e["share"].alias("value")),
-    )
-    return top.groupBy(code).agg(F.to_json(F.map_from_entries(entries)).alias(out))
+    # A one-element array gives the key its JSON quoting.
+    quoted = F.regexp_replace(F.to_json(F.array(F.col(value).cast("string"))), r"^\[|\]$", "")
+    member = F.concat(quoted, F.lit(": "), F.col("share").cast("string"))
+    members = F.transform(F.array_sort(F.collect_list(F.struct("rn", member.alias("m")))), lambda e: e["m"])
+    return top.groupBy(code).agg(F.concat(F.lit("{"), F.array_join(members, ", "), F.lit("}")).alias(out))
 
 
 def first_sample(value: str, order: Sequence[Column | str]) -> Column:
