@@ -1 +1,12 @@
 """Runnable queries over the test tables, each with the SQL it must agree with."""
+
+from __future__ import annotations
+
+
+def all_queries():
+    from codeloom.registry import catalog_queries
+
+    merged = {}
+    for module in (catalog_queries,):
+        merged.update(module.QUERIES)
+    return merged
