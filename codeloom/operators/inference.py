@@ -54,7 +54,7 @@ def ask(
         for frame in frames:
             answers: list[tuple[str | None, int, str | None]] = []
             for prompt, items in zip(frame["prompt"], frame["items"]):
-                answers.append(_one_batch(backend, prompt, [dict(i) for i in items], attempts, wait))
+                answers.append(_one_batch(backend, prompt, [i.asDict() if hasattr(i, "asDict") else dict(i) for i in items], attempts, wait))
             out = frame.copy()
             out["raw_response"] = [a[0] for a in answers]
             out["attempts"] = [a[1] for a in answers]
