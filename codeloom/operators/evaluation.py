@@ -113,14 +113,17 @@ def accuracy(frame: DataFrame, flags: Sequence[str], weight: str, by: Sequence[s
 
 def failure_distribution(evaluated: DataFrame, code: str, weight: str, examples: int = 4) -> DataFrame:
     """Failures per type: count, weight and the first example codes; only those are ever collected."""
-    failed = evaluated.filter(F.col("failure_type").isNotNull())
+    failed = (
+        evaluated.filter(F.col("failure_type").isNotNull())
+        .groupBy("failure_type", code)
+        .agg(F.count("*").alias("_n"), F.sum(weight).alias("_w"))
+    )
     totals = failed.groupBy("failure_type").agg(
-        F.count("*").alias("count"), F.coalesce(F.sum(weight), F.lit(0)).alias("weight")
+        F.sum("_n").alias("count"), F.coalesce(F.sum("_w"), F.lit(0)).alias("weight")
     )
     window = Window.partitionBy("failure_type").orderBy(code)
     shown = (
-        failed.groupBy("failure_type", code).agg(F.lit(1).alias("_one"))
-        .withColumn("rn", F.row_number().over(window))
+        failed.withColumn("rn", F.row_number().over(window))
         .filter(F.col("rn") <= examples)
         .groupBy("failure_type")
         .agg(F.array_join(F.array_sort(F.collect_list(code)), ", ").alias("examples"))

@@ -39,10 +39,18 @@ def tally(df: DataFrame, code: str, text: str, count: Column | None = None) -> D
     return df.groupBy(code, text).agg(total.alias("n"))
 
 
-def ranked(tallied: DataFrame, code: str, text: str, keep: int) -> DataFrame:
-    """The ``keep`` most frequent texts per code; ties go to the smaller text."""
-    window = Window.partitionBy(code).orderBy(F.desc("n"), F.asc(text))
-    return tallied.withColumn("rn", F.row_number().over(window)).filter(F.col("rn") <= keep)
+def ranked(tallied: DataFrame, code: str, text: str, keep: int, blank: Column | None = None) -> DataFrame:
+    """The ``keep`` most frequent texts per code; ties go to the smaller text.
+
+    ``blank`` marks texts that do not count. They are ranked last and dropped afterwards: filtering
+    them first would push the filter below the tally, which could then no longer be shared.
+    """
+    order = [F.desc("n"), F.asc(text)]
+    if blank is not None:
+        order = [F.asc(F.coalesce(blank, F.lit(True))), *order]
+    window = Window.partitionBy(code).orderBy(*order)
+    top = tallied.withColumn("rn", F.row_number().over(window)).filter(F.col("rn") <= keep)
+    return top if blank is None else top.filter(~F.coalesce(blank, F.lit(True)))
 
 
 def sample_text(samples: Column, text: str) -> Column:
@@ -56,17 +64,16 @@ def sample_text(samples: Column, text: str) -> Column:
 def top_descriptions(
     df: DataFrame, code: str, text: str, keep: int = 5, blanks: Sequence[str] = BLANK_TEXTS
 ) -> DataFrame:
-    """One row per code: volume and its most frequent descriptions.
+    """One row per non-null code: volume and its most frequent descriptions.
 
     One aggregation to (code, text) counts feeds both results; only ``keep`` rows per code are ever
     collected into a list.
     """
-    cleaned = df.select(F.col(code), strip(F.col(text).cast("string")).alias("_text"))
+    cleaned = df.filter(F.col(code).isNotNull()).select(code, strip(F.col(text).cast("string")).alias("_text"))
     counts = tally(cleaned, code, "_text")
     volumes = counts.groupBy(code).agg(F.sum("n").alias("volume"))
-    usable = counts.filter(F.col("_text").isNotNull() & ~F.col("_text").isin(*blanks))
     samples = (
-        ranked(usable, code, "_text", keep)
+        ranked(counts, code, "_text", keep, F.col("_text").isin(*blanks))
         .groupBy(code)
         .agg(F.collect_list(F.struct("rn", "_text", "n")).alias("_samples"))
     )
@@ -84,14 +91,51 @@ def distribution(df: DataFrame, code: str, value: str, keep: int = 5, digits: in
     return ranked(counts, code, value, keep).join(totals, code).select(code, value, "rn", "n", share.alias("share"))
 
 
-def distribution_json(df: DataFrame, code: str, value: str, out: str, keep: int = 5) -> DataFrame:
-    """The distribution as a JSON object, most frequent first; codes without a valid value do not appear."""
-    top = distribution(df, code, value, keep)
-    # A one-element array gives the key its JSON quoting.
-    quoted = F.regexp_replace(F.to_json(F.array(F.col(value).cast("string"))), r"^\[|\]$", "")
-    member = F.concat(quoted, F.lit(": "), F.col("share").cast("string"))
-    members = F.transform(F.array_sort(F.collect_list(F.struct("rn", member.alias("m")))), lambda e: e["m"])
-    return top.groupBy(code).agg(F.concat(F.lit("{"), F.array_join(members, ", "), F.lit("}")).alias(out))
+def json_member(key: Column, share: Column) -> Column:
+    """``"key": share``; a one-element array gives the key its JSON quoting."""
+    quoted = F.regexp_replace(F.to_json(F.array(key)), r"^\[|\]$", "")
+    return F.concat(quoted, F.lit(": "), share.cast("string"))
+
+
+def distributions_json(
+    df: DataFrame, code: str, values: dict[str, Column], first: Column, order: Sequence[str], keep: int = 5, digits: int = 3
+) -> DataFrame:
+    """Row count, first non-null ``first`` value and one JSON distribution per entry of ``values``, per code.
+
+    Every row is laid out as one (kind, value) pair per distribution plus one for the row itself, so a
+    single aggregation to (code, kind, value) counts serves all results and the rows are read once.
+    A distribution lists its most frequent values first; without a valid value it is null. Shares
+    divide by all valid rows and round half-even. Numeric values rank by number among equals.
+    """
+    none = F.lit(None).cast("string")
+    sample = F.when(first.isNotNull(), F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], first.alias("first")))
+    pairs = [
+        F.struct(F.lit(k).alias("kind"), value.cast("string").alias("value"), value.try_cast("double").alias("number"))
+        for k, value in values.items()
+    ]
+    whole = F.struct(F.lit("").alias("kind"), none.alias("value"), F.lit(None).cast("double").alias("number"))
+    laid = df.select(code, sample.alias("_sample"), F.inline(F.array(*pairs, whole)))
+    laid = laid.filter(F.col("value").isNotNull() | (F.col("kind") == ""))
+    counts = laid.groupBy(code, "kind", "value", "number").agg(F.count("*").alias("n"), F.min("_sample").alias("_sample"))
+    totals = counts.groupBy(code, "kind").agg(F.sum("n").alias("_total"), F.min("_sample").alias("_sample"))
+    # The sample decides nothing here; asking for it keeps both branches on one shared exchange.
+    window = Window.partitionBy(code, "kind").orderBy(F.desc("n"), F.asc("number"), F.asc("value"), F.asc("_sample"))
+    top = counts.select(code, "kind", "value", "n", F.row_number().over(window).alias("rn")).filter(F.col("rn") <= keep)
+    member = json_member(F.col("value"), F.bround(F.col("n") / F.col("_total"), digits))
+    per_kind = (
+        top.join(totals, [code, "kind"])
+        .groupBy(code, "kind")
+        .agg(
+            F.max("_total").alias("_total"), F.min("_sample.first").alias("_first"),
+            F.array_sort(F.collect_list(F.struct("rn", member.alias("m")))).alias("_members"),
+        )
+        .withColumn("_json", F.concat(F.lit("{"), F.array_join(F.transform("_members", lambda e: e["m"]), ", "), F.lit("}")))
+    )
+    return per_kind.groupBy(code).agg(
+        F.max(F.when(F.col("kind") == "", F.col("_total"))).alias("rows"),
+        F.max(F.when(F.col("kind") == "", F.col("_first"))).alias("first"),
+        *[F.max(F.when(F.col("kind") == k, F.col("_json"))).alias(k) for k in values],
+    )
 
 
 def first_sample(value: str, order: Sequence[Column | str]) -> Column:

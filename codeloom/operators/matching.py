@@ -47,7 +47,7 @@ def _agreement_keys(values: Sequence[Column], masks: Sequence[tuple[int, ...]])
         *[
             F.struct(
                 F.lit(number).alias("mask"),
-                F.lit(len(mask)).alias("hits"),
+                F.lit(sum(1 << i for i in mask)).alias("bits"),
                 *[(value if i in mask else F.lit("")).alias(f"k{i}") for i, value in enumerate(values)],
             )
             for number, mask in enumerate(masks)
@@ -56,39 +56,42 @@ def _agreement_keys(values: Sequence[Column], masks: Sequence[tuple[int, ...]])
 
 
 def best_agreement(
-    pred: DataFrame, truth: DataFrame, key: Sequence[str], code: str, pairs: Sequence[tuple[str, str]], lenient: bool
+    pred: DataFrame, truth: DataFrame, key: Sequence[str], code: str, pairs: Sequence[tuple[str, str]], decisive: int,
+    lenient: bool,
 ) -> DataFrame:
-    """Per prediction, the largest number of levels that agree with any truth path of its code.
+    """Per prediction, the largest number of levels that agree with any one truth path of its code:
+    ``best`` over the first ``decisive`` levels and ``best_all`` over all.
 
     Comparing each prediction with each path would emit all pairs of a code. Instead both sides list
     the level subsets they could agree on, and an equality join on (code, subset, values) finds the
     agreements: the work is a fixed factor (2 to the number of levels) of each side, and a code with
     very many rows is spread over its values. With ``lenient``, an empty truth level always agrees.
     """
-    masks = [m for size in range(len(pairs) + 1) for m in combinations(range(len(pairs)), size)]
-    keys = ["mask", *[f"k{i}" for i in range(len(pairs))]]
+    positions = range(len(pairs))
+    masks = [m for size in range(len(pairs) + 1) for m in combinations(positions, size)]
+    keys = ["mask", *[f"k{i}" for i in positions]]
     wanted = truth.select(code, *[canon(t).alias(f"t{i}") for i, (_, t) in enumerate(pairs)]).distinct()
-    values = [F.col(f"t{i}") for i in range(len(pairs))]
-    offered = wanted.select(code, *[F.col(f"t{i}") for i in range(len(pairs))],
-                            F.explode(_agreement_keys(values, masks)).alias("a"))
-    blanks = F.lit(0)
+    values = [F.col(f"t{i}") for i in positions]
+    offers = _agreement_keys(values, masks)
+    free, free_decisive = F.lit(0), F.lit(0)
     if lenient:
-        blanks = sum(((v == NULL_MARK).cast("int") for v in values), F.lit(0))
-        # A subset may only demand levels the truth fills.
-        usable = [
-            ~F.array_contains(F.array(*[F.lit(n) for n, m in enumerate(masks) if i in m]), F.col("a.mask"))
-            | (values[i] != NULL_MARK)
-            for i in range(len(pairs))
-        ]
-        for condition in usable:
-            offered = offered.filter(condition)
-    offered = offered.select(code, "a.*", (F.col("a.hits") + blanks).alias("score"))
-    offered = offered.groupBy(code, *keys).agg(F.max("score").alias("score"))
-    asked = pred.select(
-        *dict.fromkeys([*key, code]),
-        F.explode(_agreement_keys([canon(p) for p, _ in pairs], masks)).alias("a"),
-    ).select(*dict.fromkeys([*key, code]), "a.*").drop("hits")
-    return asked.join(offered, [code, *keys]).groupBy(*key).agg(F.max("score").alias("best"))
+        empty = [(v == NULL_MARK).cast("int") for v in values]
+        free, free_decisive = sum(empty, F.lit(0)), sum(empty[:decisive], F.lit(0))
+        # A subset may demand only levels the truth fills: bit i of ``open`` stands for an empty level i.
+        opened = sum((e * (1 << i) for i, e in enumerate(empty)), F.lit(0))
+        offers = F.filter(offers, lambda a: a["bits"].bitwiseAND(opened) == 0)
+    offered = wanted.select(code, free.alias("f"), free_decisive.alias("fd"), F.explode(offers).alias("a"))
+    hits = sum((F.getbit(F.col("a.bits"), F.lit(i)).cast("int") for i in positions), F.lit(0))
+    hits_decisive = sum((F.getbit(F.col("a.bits"), F.lit(i)).cast("int") for i in range(decisive)), F.lit(0))
+    offered = offered.select(code, "a.*", (hits_decisive + F.col("fd")).alias("best"), (hits + F.col("f")).alias("best_all"))
+    offered = offered.groupBy(code, *keys).agg(F.max("best").alias("best"), F.max("best_all").alias("best_all"))
+    own = list(dict.fromkeys([*key, code]))
+    asked = pred.select(*own, F.explode(_agreement_keys([canon(p) for p, _ in pairs], masks)).alias("a")).select(
+        *own, *[F.col(f"a.{k}").alias(k) for k in keys]
+    )
+    return asked.join(offered, [code, *keys]).groupBy(*key).agg(
+        F.max("best").alias("best"), F.max("best_all").alias("best_all")
+    )
 
 
 def any_mapping(
@@ -96,17 +99,14 @@ def any_mapping(
 ) -> DataFrame:
     """Best agreement and any-match flags per prediction; a code without truth left gets zero and false."""
     lenient = spec.lenient_any if lenient is None else lenient
-    pairs = list(zip(spec.pred, spec.truth))
-    decisive = best_agreement(pred, truth, key, code, pairs[: spec.decisive], lenient)
-    out = pred.join(decisive.withColumnRenamed("best", "best_levels_matched"), list(key), "left")
-    out = out.withColumn("best_levels_matched", F.coalesce("best_levels_matched", F.lit(0)))
-    out = out.withColumn("exact_match_any", F.col("best_levels_matched") == spec.decisive)
+    best = best_agreement(pred, truth, key, code, list(zip(spec.pred, spec.truth)), spec.decisive, lenient)
+    flags = {
+        "best_levels_matched": F.coalesce("best", F.lit(0)),
+        "exact_match_any": F.coalesce(F.col("best") == spec.decisive, F.lit(False)),
+    }
     if spec.decisive < spec.depth:
-        full = best_agreement(pred, truth, key, code, pairs, lenient)
-        out = out.join(full, list(key), "left").withColumn(
-            "full_match_any", F.coalesce(F.col("best") == spec.depth, F.lit(False))
-        ).drop("best")
-    return out
+        flags["full_match_any"] = F.coalesce(F.col("best_all") == spec.depth, F.lit(False))
+    return pred.join(best, list(key), "left").withColumns(flags).drop("best", "best_all")
 
 
 def valid_mappings(pred: DataFrame, truth: DataFrame, code: str, shown: Sequence[str]) -> DataFrame:

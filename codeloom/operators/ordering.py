@@ -68,9 +68,12 @@ def describe_numeric(df: DataFrame, column: str) -> DataFrame:
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
     tally = values.groupBy("v").agg(F.count("*").alias("n"))
     placed = running_total(tally, [], ["v"], F.col("n"), "upto").withColumn("start", F.col("upto") - F.col("n"))
-    moments = placed.agg(F.sum("n").alias("count"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"))
-    count, mean = moments.select("count").scalar(), moments.select("mean").scalar()
-    deviation = F.col("v") - mean
+    # One scalar subquery gives size and mean to every row.
+    moments = placed.agg(
+        F.struct(F.sum("n").alias("count"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"))
+    ).scalar()
+    placed = placed.withColumn("_all", moments)
+    count, deviation = F.col("_all.count"), F.col("v") - F.col("_all.mean")
     ends = {}
     for name, share in QUARTILES.items():
         at = (count - 1) * F.lit(share)

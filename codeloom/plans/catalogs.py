@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from codeloom.functions.levels import PRODUCT, TRANSACTION
 from codeloom.functions.parse import to_number
 from codeloom.functions.text import UNKNOWN, strip
-from codeloom.operators.frequency import code_volume, distribution_json, first_sample, top_descriptions
+from codeloom.operators.frequency import code_volume, distributions_json, top_descriptions
 from codeloom.operators.layers import assign_layers
 from codeloom.operators.normalize import (
     DEPOSIT_INCLUDED,
@@ -63,16 +63,17 @@ def loan_accounts(extract: DataFrame, order: Sequence[Column | str]) -> DataFram
 def loan_catalog(extract: DataFrame, types: DataFrame, order: Sequence[str]) -> DataFrame:
     """Accounts, sample description and the two purpose distributions per loan type."""
     accounts = loan_accounts(extract, order)
-    base = accounts.filter(F.col("type").isNotNull()).withColumn("PURCOD", to_number("PURCOD").cast("bigint"))
-    text = F.col("PurposeDescription")
-    base = base.withColumn("PurposeDescription", F.when(strip(text) != "", text))
-    counted = base.groupBy("type").agg(
-        F.count("*").alias("account_count"),
-        first_sample("LoanTypeDesc", [*order, "acctno"]).alias("sample_loan_type_desc"),
-    )
-    full = counted.join(distribution_json(base, "type", "PURCOD", "purcod_distribution"), "type", "left").join(
-        distribution_json(base, "type", "PurposeDescription", "purpose_distribution"), "type", "left"
-    )
+    purpose = F.col("PurposeDescription")
+    full = distributions_json(
+        accounts.filter(F.col("type").isNotNull()),
+        "type",
+        {
+            "purcod_distribution": to_number("PURCOD").cast("bigint"),
+            "purpose_distribution": F.when(strip(purpose) != "", purpose),
+        },
+        F.col("LoanTypeDesc"),
+        [*order, "acctno"],
+    ).withColumnsRenamed({"rows": "account_count", "first": "sample_loan_type_desc"})
     fallbacks = [F.col("sample_loan_type_desc"), F.lit(UNKNOWN)]
     named = lookup_text(full, "type", types, "code", "description", "rn", fallbacks, "product_name")
     return named.withColumnRenamed("type", "product_code").withColumn("source_file", F.lit("Loan"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codeloom.functions.text import nullify, squeeze, strip
-from codeloom.operators.hierarchy import after_sentinel, before_sentinel, fill_levels, first_filled
+from codeloom.operators.hierarchy import before_sentinel, fill_levels, first_filled
 from codeloom.operators.normalize import (
     PRODUCT_LEVEL_MAPS,
     TRANSACTION_LEVEL_MAPS,
@@ -52,10 +52,12 @@ def transaction_truth(sheet: DataFrame) -> DataFrame:
 def product_truth(sheet: DataFrame, domain: str) -> DataFrame:
     """Flat truth out of a headerless sheet (sheet, rn, c0..c6) whose level headers apply downwards."""
     cells = [f"c{i}" for i in range(7)]
-    body = after_sentinel(sheet, "sheet", "rn", first_filled(cells) == HIERARCHY_HEADING)
-    trimmed = body.select("sheet", "rn", *[F.nullif(strip(c), F.lit("")).alias(c) for c in cells])
+    trimmed = sheet.select(
+        "sheet", "rn", *[F.nullif(strip(c), F.lit("")).alias(c) for c in cells],
+        (first_filled(cells) == HIERARCHY_HEADING).alias("_heading"),
+    )
     named = trimmed.withColumnsRenamed(dict(zip(cells, (*PRODUCT_LEVELS, "product_code", "product_name"))))
-    filled = fill_levels(named, "sheet", "rn", PRODUCT_LEVELS)
+    filled = fill_levels(named, "sheet", "rn", PRODUCT_LEVELS, start=F.col("_heading"))
     rows = filled.filter(F.col("product_code").isNotNull())
     rows = rows.withColumn("gt_L2_type", F.coalesce("gt_L2_type", F.lit(domain)))
     texts = ["product_code", "product_name", *PRODUCT_LEVELS]

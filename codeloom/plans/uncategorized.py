@@ -38,11 +38,8 @@ def uncategorized_catalog(
     codes = counts.groupBy("product_code").agg(
         F.sum("n").alias("volume"), status_rule(F.col("state")).alias("prod_status")
     ).join(known, "product_code", "left_anti")
-    texts = (
-        counts.filter(F.col("text").isNotNull() & ~F.col("text").isin("", "nan", "None"))
-        .groupBy("product_code", "text").agg(F.sum("n").alias("n"))
-    )
-    listed = ranked(texts, "product_code", "text", samples).groupBy("product_code").agg(
+    texts = counts.groupBy("product_code", "text").agg(F.sum("n").alias("n"))
+    listed = ranked(texts, "product_code", "text", samples, F.col("text").isin("", "nan", "None")).groupBy("product_code").agg(
         F.collect_list(F.struct("rn", "text", "n")).alias("_samples")
     )
     found = F.coalesce(F.col("_samples"), F.array().cast("array<struct<rn:int,text:string,n:bigint>>"))

@@ -14,6 +14,7 @@ from codeloom.plans import account_history as history_plan
 from codeloom.plans import catalogs, ground_truth
 from codeloom.plans.uncategorized import uncategorized_catalog
 from codeloom.registry import views as v
+from codeloom.session import settle
 from codeloom.sources import ragged
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
@@ -294,7 +295,7 @@ def _sheet(spark: SparkSession, sf: str) -> DataFrame:
     sheet = parts[0]
     for part in parts[1:]:
         sheet = sheet.unionByName(part)
-    return sheet
+    return settle(sheet)
 
 
 @query("q_hier_ffill", """

@@ -11,6 +11,7 @@ from codeloom.functions.levels import PRODUCT, TRANSACTION, VALID_LOB, level_mat
 from codeloom.functions.text import path_label
 from codeloom.operators import audits, evaluation, inference, matching, ordering, taxonomy, versions
 from codeloom.registry import views as v
+from codeloom.session import settle
 from codeloom.registry.views import canon_sql, lenient_sql, strict_sql, with_views
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
@@ -68,7 +69,7 @@ def layer_one(spark: SparkSession, sf: str) -> DataFrame:
 
 def evaluated(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.evaluate(
-        v.predictions(spark, sf), v.truth(spark, sf), TRANSACTION, KEY, "transaction_code", ["gt_desc"], ORDER
+        settle(v.predictions(spark, sf)), v.truth(spark, sf), TRANSACTION, KEY, "transaction_code", ["gt_desc"], ORDER
     )
 
 
@@ -89,7 +90,7 @@ SELECT prompt_version, transaction_code, volume, coalesce(category_1, 'None') ||
        exact_match_any, best_levels_matched, n_mappings AS n_valid_mappings, confidence
 FROM l2 LEFT JOIN gt_counts USING (transaction_code)"""))
 def q_eval_l2_strict(spark: SparkSession, sf: str) -> DataFrame:
-    pred = v.predictions(spark, sf).filter(F.col("layer") == 2)
+    pred = settle(v.predictions(spark, sf).filter(F.col("layer") == 2))
     truth = v.truth(spark, sf)
     best = matching.any_mapping(pred, truth, TRANSACTION, KEY, "transaction_code")
     counts = truth.groupBy("transaction_code").agg(F.count_distinct(F.struct(*TRANSACTION.truth)).alias("n_valid_mappings"))
@@ -109,7 +110,7 @@ SELECT product_code, any_value(account_count) AS account_count,
        coalesce(max({' + '.join(f'CAST({p} AS INTEGER)' for p in P[:3])}) FILTER (g2 IS NOT NULL), 0) AS best_canonical_matched
 FROM ppred LEFT JOIN pgt USING (product_code) WHERE layer = 2 GROUP BY 1"""))
 def q_eval_l2_lenient(spark: SparkSession, sf: str) -> DataFrame:
-    pred = v.product_predictions(spark, sf).filter(F.col("layer") == 2)
+    pred = settle(v.product_predictions(spark, sf).filter(F.col("layer") == 2))
     truth = matching.supported_lob(v.product_truth_rows(spark, sf), "gt_L1_line_of_business", VALID_LOB)
     best = matching.any_mapping(pred, truth, PRODUCT, ["product_code", "source_file"], "product_code")
     return best.select(
@@ -139,7 +140,7 @@ UNION ALL SELECT product_code, layer, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
 def evaluated_products(spark: SparkSession, sf: str) -> DataFrame:
     truth = matching.supported_lob(v.product_truth_rows(spark, sf), "gt_L1_line_of_business", VALID_LOB)
     return evaluation.evaluate(
-        v.product_predictions(spark, sf), truth, PRODUCT, ["product_code", "source_file"], "product_code", ["truth_name"],
+        settle(v.product_predictions(spark, sf)), truth, PRODUCT, ["product_code", "source_file"], "product_code", ["truth_name"],
         ORDER, exclude_missing=True,
     )
 
@@ -240,8 +241,10 @@ SELECT *, round("w_exact_match" - lag("w_exact_match") OVER (ORDER BY prompt_ver
        round(estimated_cost - lag(estimated_cost) OVER (ORDER BY prompt_version), 6) AS delta_cost
 FROM t LEFT JOIN s USING (prompt_version)"""))
 def q_version_compare(spark: SparkSession, sf: str) -> DataFrame:
+    results = settle(v.predictions(spark, sf))
+    matched = evaluation.layer_one(results, v.truth(spark, sf), TRANSACTION, "transaction_code", ["gt_desc"], ORDER)
     return versions.compare_versions(
-        v.predictions(spark, sf), layer_one(spark, sf), VERSION_FLAGS, "volume", ["exact_match", "partial_match_L1L2"]
+        results, matched, VERSION_FLAGS, "volume", ["exact_match", "partial_match_L1L2"]
     )
 
 
@@ -253,7 +256,7 @@ def q_version_list(spark: SparkSession, sf: str) -> DataFrame:
 @query("q_latest_version", with_views("pred", """
 SELECT transaction_code, category_1, confidence FROM pred WHERE prompt_version = (SELECT max(prompt_version) FROM pred)"""))
 def q_latest_version(spark: SparkSession, sf: str) -> DataFrame:
-    return versions.of_version(v.predictions(spark, sf)).select("transaction_code", "category_1", "confidence")
+    return versions.of_version(settle(v.predictions(spark, sf))).select("transaction_code", "category_1", "confidence")
 
 
 KPI_FLAGS = ["match_L1", "match_L2", "match_L3", "match_L4", "partial_match_L1L2", "exact_match"]
@@ -322,7 +325,7 @@ SELECT audit, "column", failing_rows, failing_rows = 0 AS passed FROM (
 
 @query("q_audits", with_views("pred", AUDIT_SQL))
 def q_audits(spark: SparkSession, sf: str) -> DataFrame:
-    pred = audits.require_columns(v.predictions(spark, sf), ["transaction_code", "layer", "category_1", "prompt_version"])
+    pred = audits.require_columns(settle(v.predictions(spark, sf)), ["transaction_code", "layer", "category_1", "prompt_version"])
     checks = [
         *audits.not_null(["category_4", "transaction_code"]),
         audits.accepted_values("category_2", ["PROMO", "ECONOMY", "LARGE", "SMALL"]),
