@@ -35,17 +35,29 @@ def split_line(value: Column | str) -> Column:
     )
 
 
-def repair(lines: DataFrame, header: Sequence[str], line: str = "value", carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+def _split_once(lines: DataFrame, line: str, carry: Sequence[str]) -> DataFrame:
+    """Fields as ``_f`` and their number as ``_n``. Going through a generator keeps later filters on the
+    fields from being pushed into the scan, which would split every line a second time."""
+    fields = F.explode(F.array(split_line(clean_line(line))))
+    return lines.select(*carry, F.col(line).alias("_line"), fields.alias("_f")).withColumn("_n", F.size("_f"))
+
+
+def repair(
+    lines: DataFrame, header: Sequence[str], line: str = "value", carry: Sequence[str] = (), skip_header: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Split lines into the header's columns, and give back (rows, rejects).
 
     Surplus fields belong to the descriptions: all but the last of the middle are joined again into
-    description 1. Lines with too few fields go to the rejects with their field count.
+    description 1. Lines with too few fields go to the rejects with their field count. With
+    ``skip_header``, lines that repeat the header are dropped.
     """
     names = [c.strip() for c in header]
     width = len(names)
     tail = width - FRONT - DESCRIPTIONS
-    parts = lines.select(*carry, F.col(line).alias("_line"), split_line(clean_line(line)).alias("_f"))
-    parts = parts.withColumn("_n", F.size("_f"))
+    parts = _split_once(lines, line, carry)
+    if skip_header:
+        heading = F.array(*[F.lit(n) for n in names])
+        parts = parts.filter(~((F.col("_n") == width) & (F.transform("_f", lambda f: F.trim(f)) == heading)))
     sound = parts.filter(F.col("_n") >= width)
     n = F.col("_n")
     cells = [F.col("_f")[i] for i in range(FRONT)]
@@ -61,8 +73,8 @@ def repair(lines: DataFrame, header: Sequence[str], line: str = "value", carry:
 
 def repair_counts(lines: DataFrame, width: int, line: str = "value") -> DataFrame:
     """Lines taken as they are, repaired and rejected."""
-    n = F.size(split_line(clean_line(line)))
-    return lines.agg(
+    n = F.col("_n")
+    return _split_once(lines, line, ()).agg(
         F.count_if(n == width).alias("sound"),
         F.count_if(n > width).alias("repaired"),
         F.count_if(n < width).alias("rejected"),
@@ -88,6 +100,4 @@ def read_ragged(
     """(rows, rejects) of ragged files. Header lines are recognised by their content, so every file of
     a pattern may carry one and files stay splittable."""
     names = list(header) if header else header_of(spark, path)
-    trimmed = F.transform(split_line(clean_line("value")), lambda f: F.trim(f))
-    is_header = F.array_join(trimmed, "\x1f") == "\x1f".join(n.strip() for n in names)
-    return repair(read_lines(spark, path).filter(~is_header), names)
+    return repair(read_lines(spark, path), names, skip_header=True)
