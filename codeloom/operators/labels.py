@@ -51,8 +51,7 @@ def flat_label(value: Column | str, labels: Mapping[str, str]) -> Column:
         *[F.struct(hits(text, p).alias("n"), F.lit(-i).alias("o"), F.lit(name).alias("label"))
           for i, (name, p) in enumerate(labels.items())]
     )
-    best = F.array_max(scored)
-    return F.when(best["n"] > 0, best["label"])
+    return F.array_max(F.filter(scored, lambda s: s["n"] > 0))["label"]
 
 
 def attributes(value: Column | str) -> dict[str, Column]:

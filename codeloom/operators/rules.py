@@ -123,25 +123,17 @@ def _found(text: Column, pattern: str) -> Column:
     return text.rlike(pattern)
 
 
-def transaction_rules() -> tuple[tuple[str | None, str | None, Rule], ...]:
-    """All rules in order, each with the pattern that must (or must not) hold for its block."""
-    guarded = [("fee", r) for r in FEE_REFUND_RULES] + [("fee", r) for r in FEE_RULES] + [("plain", r) for r in NON_FEE_RULES]
-    return tuple((FEE_WORDS if kind == "fee" else None, None if kind == "fee" else FEE_WORDS, r) for kind, r in guarded)
+# The fee block is decided first; each block then has its own rules.
+FEE_BLOCK = (*FEE_REFUND_RULES, *FEE_RULES)
 
 
-def _fires(text: Column, needs: str | None, bars: str | None, rule: Rule) -> Column:
+def fires(text: Column, rule: Rule) -> Column:
     condition = _found(text, rule.pattern)
-    if needs:
-        condition = _found(text, needs) & condition
-    if bars:
-        condition = ~_found(text, bars) & condition
-    if rule.veto:
-        condition = condition & ~_found(text, rule.veto)
-    return condition
+    return condition & ~_found(text, rule.veto) if rule.veto else condition
 
 
 def transaction_placement(description: Column | str) -> Column:
-    """Struct (category_1..4, confidence) of a description: the fee block is decided first."""
+    """Struct (category_1..4, confidence) of a description."""
     text = F.lower(F.coalesce(as_col(description), F.lit("")))
 
     def place(path: Sequence[str | None], confidence: float) -> Column:
@@ -150,11 +142,15 @@ def transaction_placement(description: Column | str) -> Column:
             F.lit(confidence).alias("confidence"),
         )
 
-    chain = F.when(F.lit(False), place(_non_fee(UNCLASSIFIED), UNPLACED))
-    for needs, bars, rule in transaction_rules():
-        chain = chain.when(_fires(text, needs, bars, rule), place(rule.path, rule.confidence))
-    chain = chain.when(_found(text, FEE_WORDS), place(_fee(UNCLASSIFIED), UNPLACED))
-    return chain.otherwise(place(_non_fee(UNCLASSIFIED), UNPLACED))
+    def block(rules: Sequence[Rule], otherwise: tuple[str | None, ...]) -> Column:
+        out = place(otherwise, UNPLACED)
+        for rule in reversed(rules):
+            out = F.when(fires(text, rule), place(rule.path, rule.confidence)).otherwise(out)
+        return out
+
+    return F.when(_found(text, FEE_WORDS), block(FEE_BLOCK, _fee(UNCLASSIFIED))).otherwise(
+        block(NON_FEE_RULES, _non_fee(UNCLASSIFIED))
+    )
 
 
 def include_in_scoring(category_1: Column | str, category_2: Column | str) -> Column:
@@ -229,10 +225,7 @@ SUBCATEGORY_RULES = (
 def _chain(text: Column, rules: Sequence[Rule], pick: Callable[[Rule], Column], default: Column) -> Column:
     out = default
     for rule in reversed(rules):
-        condition = _found(text, rule.pattern)
-        if rule.veto:
-            condition = condition & ~_found(text, rule.veto)
-        out = F.when(condition, pick(rule)).otherwise(out)
+        out = F.when(fires(text, rule), pick(rule)).otherwise(out)
     return out
 
 
@@ -349,9 +342,7 @@ def suggestion_placement(samples: Column | str) -> Column:
 def place_transaction(description: str | None) -> tuple[tuple[str | None, ...], float]:
     text = (description or "").lower()
     is_fee = re.search(FEE_WORDS, text) is not None
-    for needs, _, rule in transaction_rules():
-        if (needs is not None) != is_fee:
-            continue
+    for rule in FEE_BLOCK if is_fee else NON_FEE_RULES:
         if re.search(rule.pattern, text) and not (rule.veto and re.search(rule.veto, text)):
             return rule.path, rule.confidence
     return (_fee(UNCLASSIFIED) if is_fee else _non_fee(UNCLASSIFIED)), UNPLACED

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from codeloom import schemas
 from codeloom.functions.levels import TRANSACTION
 from codeloom.functions.pricing import TRANSACTION_PRICES, estimate_cost
 from codeloom.functions.text import code_key, estimate_tokens
-from codeloom.operators import audits, batching, evaluation, inference, labels, lob, rules
+from codeloom.operators import audits, batching, evaluation, inference, labels, lob, normalize, rules
 from codeloom.operators.frequency import top_descriptions
 from codeloom.operators.layers import assign_layers
 from codeloom.operators.normalize import conform
@@ -19,7 +19,7 @@ from codeloom.plans import account_history as plan
 from codeloom.plans import classification, suggestions
 from codeloom.plans.uncategorized import uncategorized_catalog
 from codeloom.registry import views as v
-from codeloom.registry.catalog_queries import SAMPLES_SQL, product_catalog
+from codeloom.registry.catalog_queries import LOAN_CATALOG_SQL, SAMPLES_SQL, product_catalog
 from codeloom.registry.views import with_views
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
@@ -46,19 +46,18 @@ def _hit(x: str, pattern: str) -> str:
     return f"regexp_matches({x}, '{pattern}')"
 
 
+def fires_sql(x: str, rule: rules.Rule) -> str:
+    return f"{_hit(x, rule.pattern)} AND NOT {_hit(x, rule.veto)}" if rule.veto else _hit(x, rule.pattern)
+
+
 def rules_sql(text: str, pick: Callable[[rules.Rule], str], fee_else: str, plain_else: str) -> str:
     x = f"lower({text})"
-    whens = []
-    for needs, bars, rule in rules.transaction_rules():
-        cond = [_hit(x, rule.pattern)]
-        if needs:
-            cond.append(_hit(x, needs))
-        if bars:
-            cond.append(f"NOT {_hit(x, bars)}")
-        if rule.veto:
-            cond.append(f"NOT {_hit(x, rule.veto)}")
-        whens.append(f"WHEN {' AND '.join(cond)} THEN {pick(rule)}")
-    return f"CASE {' '.join(whens)} WHEN {_hit(x, rules.FEE_WORDS)} THEN {fee_else} ELSE {plain_else} END"
+
+    def block(table: Sequence[rules.Rule], otherwise: str) -> str:
+        return "CASE " + " ".join(f"WHEN {fires_sql(x, r)} THEN {pick(r)}" for r in table) + f" ELSE {otherwise} END"
+
+    fee, plain = block(rules.FEE_BLOCK, fee_else), block(rules.NON_FEE_RULES, plain_else)
+    return f"CASE WHEN {_hit(x, rules.FEE_WORDS)} THEN {fee} ELSE {plain} END"
 
 
 def _literal(value: str | None) -> str:
@@ -296,10 +295,46 @@ def q_token_estimate(spark: SparkSession, sf: str) -> DataFrame:
 # --- products -----------------------------------------------------------------------------------------------
 
 
-@query("q_classify_products")
+def _first_sql(x: str, table: Sequence[tuple[str, str]], otherwise: str) -> str:
+    return "CASE " + " ".join(f"WHEN {cond} THEN {value}" for cond, value in table) + f" ELSE {otherwise} END"
+
+
+NAME = "lower(product_name)"
+LOB_SQL = (
+    f"CASE WHEN {_hit(NAME, rules.BUSINESS_WORDS)} THEN 'Business' WHEN {_hit(NAME, rules.RETAIL_WORDS)} THEN 'Retail' "
+    "WHEN purpose IN ('1', '2') THEN 'Retail' WHEN purpose IN ('3', '4', '5', '6', '9') THEN 'Business' ELSE 'Retail' END"
+)
+PLACED_SQL = _first_sql(NAME, [
+    (f"kind = '{kind}' AND {fires_sql(NAME, r)}" + (f" AND lob = '{only}'" if only else ""), f"'{r.path[0]}'")
+    for kind, only, r in rules.PRODUCT_CATEGORY_RULES
+], "'Unclassified'")
+CERTAINTY_SQL = _first_sql(NAME, [
+    (f"kind = '{kind}' AND {fires_sql(NAME, r)}" + (f" AND lob = '{only}'" if only else ""), f"{r.confidence}::DOUBLE")
+    for kind, only, r in rules.PRODUCT_CATEGORY_RULES
+], "0.3::DOUBLE")
+
+
+@query("q_classify_products", with_views("loans loan_types deposits types", f"""
+WITH loan AS ({LOAN_CATALOG_SQL}),
+     dep AS (SELECT sccode AS product_code, count(*) AS account_count, coalesce(any_value(description), '(unknown)') AS product_name
+             FROM deposits LEFT JOIN types ON code = sccode
+             WHERE sccode IS NOT NULL AND CAST(status AS INTEGER) IN {normalize.DEPOSIT_INCLUDED} GROUP BY 1),
+     c AS (SELECT product_code, account_count, product_name, 'Deposit' AS source_file, 'Deposits' AS kind, NULL AS purpose, 1 AS layer FROM dep
+           UNION ALL SELECT product_code, account_count, product_name, 'Loan', 'Loans', split_part(purcod_distribution, '"', 2), 3 FROM loan),
+     x AS (SELECT *, {LOB_SQL} AS lob, row_number() OVER (PARTITION BY source_file ORDER BY product_code) - 1 AS pos FROM c)
+SELECT product_code, product_name, source_file, account_count, layer, lob AS line_of_business, kind AS product_type, {PLACED_SQL} AS product_category,
+       {_first_sql(NAME, [(fires_sql(NAME, r), f"'{r.path[0]}'") for r in rules.SUBCATEGORY_RULES], 'NULL')} AS product_subcategory,
+       {_first_sql(NAME, [(fires_sql(NAME, r), f"'{r.path[0]}'") for r in rules.SPECIAL_RULES], 'NULL')} AS product_special, {CERTAINTY_SQL} AS confidence,
+       'line of business from ' || CASE WHEN {_hit(NAME, rules.BUSINESS_WORDS)} OR {_hit(NAME, rules.RETAIL_WORDS)} THEN 'name'
+         WHEN purpose IN ('1', '2', '3', '4', '5', '6', '9') THEN 'purpose distribution' ELSE 'default' END AS reasoning,
+       source_file || '-' || (pos // CASE source_file WHEN 'Deposit' THEN 30 ELSE 10 END) AS batch_id, true AS was_requested
+FROM x"""))
 def q_classify_products(spark: SparkSession, sf: str) -> DataFrame:
     """Deposit and loan catalog through the product rules."""
-    return classification.classify_products(product_catalog(spark, sf), "p1", stamp()).drop("llm_raw", "run_timestamp")
+    results = classification.classify_products(product_catalog(spark, sf), "p1", stamp())
+    return results.drop(
+        "llm_raw", "run_timestamp", "prompt_version", "model_name", "tokens_in", "tokens_out", "estimated_cost"
+    )
 
 
 UNCATEGORIZED_SQL = f"""
@@ -336,14 +371,44 @@ def q_suggestion_audits(spark: SparkSession, sf: str) -> DataFrame:
     return audits.suggestion_audits(_suggestions(spark, sf))
 
 
-@query("q_suggest_products", None)
+FIRST = "upper(regexp_replace(split_part(samples, ' | ', 1), ' \\([0-9,]+\\)$', ''))"
+SAMPLE = "lower(samples)"
+TYPE_SQL = _first_sql(SAMPLE, [(fires_sql(SAMPLE, r), f"'{r.path[0]}'") for _, r in rules.SUGGESTION_TYPE_RULES], "NULL")
+GROUP_SQL = _first_sql(
+    SAMPLE, [(fires_sql(SAMPLE, r), f"'{g}'") for g, r in rules.SUGGESTION_TYPE_RULES],
+    f"CASE WHEN {_hit(SAMPLE, rules.SERVICE_WORDS)} THEN 'SERVICES' END",
+)
+SUGGESTED_LOB_SQL = (
+    f"CASE WHEN {_hit("replace(lower(samples), 'real estate', '')", rules.FIDUCIARY_WORDS)} THEN 'WEALTH MANAGEMENT' "
+    f"WHEN {_hit(SAMPLE, rules.BUSINESS_WORDS)} THEN 'BUSINESS' ELSE 'RETAIL' END"
+)
+
+
+@query("q_suggest_products", with_views("deposits types loans loan_types", f"""
+WITH h AS (SELECT sccode AS code, coalesce(description, '(unknown)') AS t, CAST(status AS INTEGER) IN (1, 4, 9, 10) AS active FROM deposits LEFT JOIN types ON code = sccode
+           UNION ALL SELECT type, coalesce(nullif(loantype, 'nan'), description, '(unknown)'), status IN (1, 4, 9)
+           FROM (SELECT * FROM loans QUALIFY row_number() OVER (PARTITION BY acctno, type ORDER BY o_orderkey) = 1) LEFT JOIN loan_types ON code = type),
+     codes AS (SELECT code, count(*) AS volume, CASE WHEN bool_or(active) THEN 'ACTIVE' ELSE 'INACTIVE' END AS prod_status FROM h WHERE code IS NOT NULL GROUP BY 1),
+     r AS (SELECT code, t, count(*) AS n, row_number() OVER (PARTITION BY code ORDER BY count(*) DESC, t) AS rn FROM h GROUP BY 1, 2),
+     c AS (SELECT codes.code, any_value(volume) AS volume, any_value(prod_status) AS prod_status, {SAMPLES_SQL.format(t='t')} AS samples
+           FROM codes JOIN r USING (code) WHERE rn <= 3 GROUP BY 1),
+     p AS (SELECT *, {SUGGESTED_LOB_SQL} AS lob, {GROUP_SQL} AS grp, {TYPE_SQL} AS kind FROM c)
+SELECT substr(sha256(code), 1, 32) AS "PROD_product_type_id", lob AS "PROD_line_of_business", coalesce(grp, '') AS "PROD_product_category",
+       coalesce(kind, '') AS "PROD_product_type", CASE WHEN kind IS NOT NULL THEN {FIRST} END AS "PROD_product_name",
+       upper({_first_sql(SAMPLE, [(fires_sql(SAMPLE, r), f"'{r.path[0]}'") for r in rules.SPECIAL_RULES], 'NULL')}) AS "PROD_product_code",
+       prod_status AS "PROD_status", code AS "PROD_core_system_mapping", coalesce(grp = 'LOANS', false) AS "PROD_balance_requires_abs",
+       CASE WHEN lob IN ('RETAIL', 'BUSINESS') THEN 'PENDING_REVIEW' ELSE 'REQUIRES_MANUAL_MAPPING' END AS review_status,
+       samples AS description_samples, volume FROM p"""))
 def q_suggest_products(spark: SparkSession, sf: str) -> DataFrame:
     """Suggestions for the account history of the deposit and loan extracts."""
     history = plan.account_history(
         plan.deposit_history(v.deposits(spark, sf), v.type_list(spark, sf), ["ACCTNO"], stamp()),
         plan.loan_history(v.loans(spark, sf), v.loan_types(spark, sf), ["o_orderkey"], stamp()), None,
     )
-    return suggestions.suggest(uncategorized_catalog(history, v.master(spark, sf)), "v2.0", stamp())
+    suggested = suggestions.suggest(uncategorized_catalog(history, v.master(spark, sf)), "v2.0", stamp())
+    return suggested.drop(
+        "PROD_created_date", "PROD_modified_date", "processing_timestamp", "confidence", "ai_model", "prompt_version"
+    )
 
 
 @query("q_master_merge", with_views("master", """
