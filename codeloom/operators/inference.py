@@ -9,19 +9,26 @@ shuffle, and a retried task sees its own answer only.
 from __future__ import annotations
 
 import json
+import sys
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codeloom.functions.pricing import estimate_cost
 from codeloom.functions.text import code_key, estimate_tokens
+from codeloom.operators import rules
 from codeloom.operators.rules import direction_of, place_transaction
 from codeloom.session import settle
 
+# Workers need not have this package: what they call travels with the task.
+for _module in (sys.modules[__name__], rules):
+    cloudpickle.register_pickle_by_value(_module)
+
 Backend = Callable[[str, list[dict]], str]
 
 # Attempts per batch, length of a stored message, marker of a failed row.

@@ -3,8 +3,20 @@
 from pyspark.sql import types as T
 
 
+_KINDS: dict[str, T.DataType] = {
+    "string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(),
+    "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType(),
+    "decimal(8,5)": T.DecimalType(8, 5), "decimal(10,6)": T.DecimalType(10, 6), "decimal(18,2)": T.DecimalType(18, 2),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Schema from ``name type [not null], ...``; unlike a DDL string it needs no running session."""
+    fields = []
+    for part in spec.split(", "):
+        name, kind, *rest = part.split()
+        fields.append(T.StructField(name, _KINDS[kind], nullable=not rest))
+    return T.StructType(fields)
 
 
 GROUND_TRUTH = _struct(
@@ -85,6 +97,8 @@ PRODUCT_SUGGESTIONS = _struct(
     "ai_model string, prompt_version string, description_samples string, volume bigint"
 )
 
+NEW_CODE_REPORT = _struct("code string, first_seen timestamp, volume bigint")
+
 TRANSACTION_RESPONSE = (
     "classifications array<struct<transaction_code:string,category_1:string,category_2:string,category_3:string,"
     "category_4:string,include_in_scoring:boolean,credit_debit:string,confidence:double>>"

@@ -10,9 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from codeloom.functions.text import code_key
-
-REPORT = T.StructType.fromDDL("code string, first_seen timestamp, volume bigint")
-
+from codeloom.schemas import NEW_CODE_REPORT
 
 def _batch_path(path: str, batch: int) -> str:
     return f"{path}/batch_id={batch}"
@@ -20,7 +18,7 @@ def _batch_path(path: str, batch: int) -> str:
 
 def _reported_before(spark: SparkSession, path: str, batch: int) -> DataFrame:
     """Codes reported by earlier batches; a replayed batch ignores its own first attempt."""
-    schema = T.StructType([*REPORT.fields, T.StructField("batch_id", T.LongType())])
+    schema = T.StructType([*NEW_CODE_REPORT.fields, T.StructField("batch_id", T.LongType())])
     if batch == 0:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path).filter(F.col("batch_id") < batch)
@@ -61,4 +59,4 @@ def report_new_codes(
 
 
 def reported_codes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(REPORT).parquet(f"{path}/batch_id=*")
+    return spark.read.schema(NEW_CODE_REPORT).parquet(f"{path}/batch_id=*")
