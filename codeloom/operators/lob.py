@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from codeloom.functions.text import strip
 from codeloom.operators.rules import customer_class_lob, purpose_lob
+from codeloom.operators.skew import lookup_join
 
 
 def with_purpose_lob(df: DataFrame, purpose: str, out: str = "purpose_lob") -> DataFrame:
@@ -16,9 +17,9 @@ def with_purpose_lob(df: DataFrame, purpose: str, out: str = "purpose_lob") -> D
 def transactions_with_account_type(
     transactions: DataFrame, accounts: DataFrame, account: str, internal: str, kind: str
 ) -> DataFrame:
-    """Bring the account type to each transaction. Hot accounts are left to the adaptive skew join."""
+    """Bring the account type to each transaction; busy accounts do not move."""
     side = accounts.groupBy(strip(internal).alias("_account")).agg(F.min(kind).alias(kind))
-    return transactions.join(side, strip(account) == F.col("_account"), "left").drop("_account")
+    return lookup_join(transactions.withColumn("_account", strip(account)), side, "_account").drop("_account")
 
 
 def accounts_with_customer_class(
@@ -26,13 +27,11 @@ def accounts_with_customer_class(
 ) -> DataFrame:
     """Customer class and its line of business of the primary owner of each account.
 
-    ``relationships``: CIF, Relationship, AccountNumber; ``customers``: CIF, CFCLAS.
+    ``relationships``: CIF, Relationship, AccountNumber; ``customers``: CIF, CFCLAS. Customers that own
+    very many accounts do not make their accounts meet in one task.
     """
     primary = relationships.filter(F.col("Relationship") == "Primary")
     owner = primary.groupBy("AccountNumber").agg(F.min("CIF").alias("CIF"))
     classes = customers.groupBy("CIF").agg(F.min("CFCLAS").alias("CFCLAS"))
-    return (
-        accounts.join(owner, "AccountNumber", "left")
-        .join(classes, "CIF", "left")
-        .withColumn("class_lob", customer_class_lob("CFCLAS"))
-    )
+    owned = lookup_join(accounts, owner, "AccountNumber")
+    return lookup_join(owned, classes, "CIF").withColumn("class_lob", customer_class_lob("CFCLAS"))

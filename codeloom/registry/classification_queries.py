@@ -337,11 +337,28 @@ def q_classify_products(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+FIRST = "upper(regexp_replace(split_part(samples, ' | ', 1), ' \\([0-9,]+\\)$', ''))"
+SAMPLE = "lower(samples)"
+TYPE_SQL = _first_sql(SAMPLE, [(fires_sql(SAMPLE, r), f"'{r.path[0]}'") for _, r in rules.SUGGESTION_TYPE_RULES], "NULL")
+GROUP_SQL = _first_sql(
+    SAMPLE, [(fires_sql(SAMPLE, r), f"'{g}'") for g, r in rules.SUGGESTION_TYPE_RULES],
+    f"CASE WHEN {_hit(SAMPLE, rules.SERVICE_WORDS)} THEN 'SERVICES' END",
+)
+SUGGESTED_LOB_SQL = (
+    f"CASE WHEN {_hit("replace(lower(samples), 'real estate', '')", rules.FIDUCIARY_WORDS)} THEN 'WEALTH MANAGEMENT' "
+    f"WHEN {_hit(SAMPLE, rules.BUSINESS_WORDS)} THEN 'BUSINESS' ELSE 'RETAIL' END"
+)
+
+
+SPECIAL_SQL = _first_sql(SAMPLE, [(fires_sql(SAMPLE, r), f"'{r.path[0]}'") for r in rules.SPECIAL_RULES], "NULL")
+SUGGESTED_CERTAINTY_SQL = _first_sql(
+    SAMPLE, [(fires_sql(SAMPLE, r), f"{r.confidence}::DOUBLE") for _, r in rules.SUGGESTION_TYPE_RULES], "0.3::DOUBLE"
+)
 UNCATEGORIZED_SQL = f"""
 u AS (SELECT upper(trim(product_ref)) AS product_code, trim(product_desc) AS t, account_status FROM ah
       WHERE NOT EXISTS (SELECT 1 FROM master WHERE upper(trim(core_mapping)) = upper(trim(product_ref)))),
 codes AS (SELECT product_code, count(*) AS volume, CASE WHEN bool_or(account_status = 'ACTIVE') THEN 'ACTIVE' ELSE 'INACTIVE' END AS prod_status FROM u GROUP BY 1),
-r AS (SELECT product_code, t, count(*) AS n, row_number() OVER (PARTITION BY product_code ORDER BY count(*) DESC, t) AS rn FROM u GROUP BY 1, 2),
+r AS (SELECT product_code, t, count(*) AS n, row_number() OVER (PARTITION BY product_code ORDER BY count(*) DESC, t) AS rn FROM u WHERE t <> '' GROUP BY 1, 2),
 c AS (SELECT codes.product_code, any_value(volume) AS volume, any_value(prod_status) AS prod_status, {SAMPLES_SQL.format(t='t')} AS samples
       FROM codes JOIN r USING (product_code) WHERE rn <= 3 GROUP BY 1)"""
 
@@ -352,10 +369,12 @@ def _suggestions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("q_suggestions", with_views("ah master", f"""WITH {UNCATEGORIZED_SQL.strip()}
-SELECT substr(sha256(product_code), 1, 32) AS "PROD_product_type_id", 'RETAIL' AS "PROD_line_of_business", '' AS "PROD_product_category",
-       '' AS "PROD_product_type", CAST(NULL AS VARCHAR) AS "PROD_product_name", CAST(NULL AS VARCHAR) AS "PROD_product_code", prod_status AS "PROD_status",
-       product_code AS "PROD_core_system_mapping", false AS "PROD_balance_requires_abs", 'PENDING_REVIEW' AS review_status, 0.3::DOUBLE AS confidence,
-       'rules' AS ai_model, 'v2.0' AS prompt_version, samples AS description_samples, volume
+SELECT substr(sha256(product_code), 1, 32) AS "PROD_product_type_id", {SUGGESTED_LOB_SQL} AS "PROD_line_of_business",
+       coalesce({GROUP_SQL}, '') AS "PROD_product_category", coalesce({TYPE_SQL}, '') AS "PROD_product_type",
+       CASE WHEN {TYPE_SQL} IS NOT NULL THEN {FIRST} END AS "PROD_product_name", upper({SPECIAL_SQL}) AS "PROD_product_code", prod_status AS "PROD_status",
+       product_code AS "PROD_core_system_mapping", coalesce({GROUP_SQL} = 'LOANS', false) AS "PROD_balance_requires_abs",
+       CASE WHEN {SUGGESTED_LOB_SQL} IN ('RETAIL', 'BUSINESS') THEN 'PENDING_REVIEW' ELSE 'REQUIRES_MANUAL_MAPPING' END AS review_status,
+       {SUGGESTED_CERTAINTY_SQL} AS confidence, 'rules' AS ai_model, 'v2.0' AS prompt_version, samples AS description_samples, volume
 FROM c"""))
 def q_suggestions(spark: SparkSession, sf: str) -> DataFrame:
     return _suggestions(spark, sf).drop("PROD_created_date", "PROD_modified_date", "processing_timestamp").withColumn(
@@ -371,19 +390,6 @@ def q_suggestion_audits(spark: SparkSession, sf: str) -> DataFrame:
     return audits.suggestion_audits(_suggestions(spark, sf))
 
 
-FIRST = "upper(regexp_replace(split_part(samples, ' | ', 1), ' \\([0-9,]+\\)$', ''))"
-SAMPLE = "lower(samples)"
-TYPE_SQL = _first_sql(SAMPLE, [(fires_sql(SAMPLE, r), f"'{r.path[0]}'") for _, r in rules.SUGGESTION_TYPE_RULES], "NULL")
-GROUP_SQL = _first_sql(
-    SAMPLE, [(fires_sql(SAMPLE, r), f"'{g}'") for g, r in rules.SUGGESTION_TYPE_RULES],
-    f"CASE WHEN {_hit(SAMPLE, rules.SERVICE_WORDS)} THEN 'SERVICES' END",
-)
-SUGGESTED_LOB_SQL = (
-    f"CASE WHEN {_hit("replace(lower(samples), 'real estate', '')", rules.FIDUCIARY_WORDS)} THEN 'WEALTH MANAGEMENT' "
-    f"WHEN {_hit(SAMPLE, rules.BUSINESS_WORDS)} THEN 'BUSINESS' ELSE 'RETAIL' END"
-)
-
-
 @query("q_suggest_products", with_views("deposits types loans loan_types", f"""
 WITH h AS (SELECT sccode AS code, coalesce(description, '(unknown)') AS t, CAST(status AS INTEGER) IN (1, 4, 9, 10) AS active FROM deposits LEFT JOIN types ON code = sccode
            UNION ALL SELECT type, coalesce(nullif(loantype, 'nan'), description, '(unknown)'), status IN (1, 4, 9)
@@ -395,7 +401,7 @@ WITH h AS (SELECT sccode AS code, coalesce(description, '(unknown)') AS t, CAST(
      p AS (SELECT *, {SUGGESTED_LOB_SQL} AS lob, {GROUP_SQL} AS grp, {TYPE_SQL} AS kind FROM c)
 SELECT substr(sha256(code), 1, 32) AS "PROD_product_type_id", lob AS "PROD_line_of_business", coalesce(grp, '') AS "PROD_product_category",
        coalesce(kind, '') AS "PROD_product_type", CASE WHEN kind IS NOT NULL THEN {FIRST} END AS "PROD_product_name",
-       upper({_first_sql(SAMPLE, [(fires_sql(SAMPLE, r), f"'{r.path[0]}'") for r in rules.SPECIAL_RULES], 'NULL')}) AS "PROD_product_code",
+       upper({SPECIAL_SQL}) AS "PROD_product_code",
        prod_status AS "PROD_status", code AS "PROD_core_system_mapping", coalesce(grp = 'LOANS', false) AS "PROD_balance_requires_abs",
        CASE WHEN lob IN ('RETAIL', 'BUSINESS') THEN 'PENDING_REVIEW' ELSE 'REQUIRES_MANUAL_MAPPING' END AS review_status,
        samples AS description_samples, volume FROM p"""))
@@ -411,20 +417,20 @@ def q_suggest_products(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("q_master_merge", with_views("master", """
-WITH s AS (SELECT upper(p_brand) AS k FROM part GROUP BY 1 HAVING count(*) > (SELECT count(*) / 25 FROM part)),
+@query("q_master_merge", with_views("ah master", """
+WITH s AS (SELECT upper(product_ref) AS k FROM ah GROUP BY 1 HAVING count(*) > (SELECT count(*) / 60 FROM ah)),
      m AS (SELECT *, upper(trim(core_mapping)) AS k FROM master)
 SELECT coalesce(type_id, 'new-' || s.k) AS "PROD_product_type_id", coalesce(core_mapping, s.k) AS "PROD_core_system_mapping",
        CASE WHEN s.k IS NOT NULL THEN 'BUSINESS' END AS "PROD_line_of_business"
 FROM m FULL JOIN s ON m.k = s.k"""))
 def q_master_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """Approved suggestions for the more frequent brands, merged into the master."""
+    """Approved suggestions for the busier codes, merged into the master."""
     old = conform(v.master(spark, sf), schemas.PRODUCT_MASTER)
-    part = v.table(spark, sf, "part")
-    average = part.agg(F.count("*") / 25).scalar()
-    frequent = part.groupBy(F.upper("p_brand").alias("k")).agg(F.count("*").alias("n")).filter(F.col("n") > average)
+    history = v.history(spark, sf)
+    average = history.agg(F.count("*") / v.HISTORY_CODES).scalar()
+    busy = history.groupBy(code_key("ProductInstanceReference").alias("k")).agg(F.count("*").alias("n")).filter(F.col("n") > average)
     approved = conform(
-        frequent.select(
+        busy.select(
             F.concat(F.lit("new-"), "k").alias("PROD_product_type_id"), F.col("k").alias("PROD_core_system_mapping"),
             F.lit("BUSINESS").alias("PROD_line_of_business"), F.lit("APPROVED").alias("review_status"),
         ),

@@ -46,31 +46,27 @@ def pick_sql(texts: tuple[str, ...], number: str) -> str:
     return f"[{listed}][CAST({number} AS BIGINT) % {len(texts)} + 1]"
 
 
+HISTORY_CODES = 60
+
+
 def history(spark: SparkSession, sf: str) -> DataFrame:
-    """Account history: one row per line item."""
-    line = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-    part = table(spark, sf, "part").select("p_partkey", "p_brand", "p_name")
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    state = F.when(F.col("o_orderstatus") == "O", "Active").when(F.col("o_orderstatus") == "F", "Closed").otherwise("Dormant")
-    return (
-        line.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            F.col("p_brand").alias("ProductInstanceReference"),
-            F.col("p_name").alias("ProductInstanceDescription"),
-            state.alias("AccountStatus"),
-        )
+    """Account history: one row per line item; codes come in both letter cases and padded."""
+    number = F.col("l_partkey") % HISTORY_CODES
+    code = F.concat(F.lit("p"), F.lpad(number.cast("string"), 2, "0"))
+    live = (F.col("l_returnflag") == "A") & (number % 7 != 0)
+    return table(spark, sf, "lineitem").select(
+        F.when(F.col("l_linenumber") > 3, F.upper(code)).otherwise(F.concat(F.lit(" "), code)).alias("ProductInstanceReference"),
+        F.when(F.col("l_tax") > 0.01, F.concat_ws(" ", pick(PRODUCT_TEXTS, number), "l_linestatus")).alias("ProductInstanceDescription"),
+        F.when(live, "Active ").when(F.col("l_returnflag") == "N", "Closed").otherwise("Dormant").alias("AccountStatus"),
     )
 
 
 def master(spark: SparkSession, sf: str) -> DataFrame:
-    """Codes mapped already: the brands of the tens."""
-    brand = F.col("p_brand")
-    return (
-        table(spark, sf, "part").filter(brand.startswith("Brand#1")).select(
-            F.concat(F.lit("  "), F.lower(brand), F.lit(" ")).alias("PROD_core_system_mapping"),
-            F.substring(F.sha2(F.upper(brand), 256), 1, 32).alias("PROD_product_type_id"),
-        ).distinct()
+    """Codes mapped already: one per nation."""
+    code = F.concat(F.lit("P"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
+    return table(spark, sf, "nation").select(
+        F.concat(F.lit("  "), F.lower(code), F.lit(" ")).alias("PROD_core_system_mapping"),
+        F.substring(F.sha2(code, 256), 1, 32).alias("PROD_product_type_id"),
     )
 
 
@@ -271,13 +267,14 @@ def strict_sql(p: str, t: str) -> str:
 LAYER_CASE = "CASE WHEN n_mappings IS NULL THEN 3 WHEN n_mappings > 1 THEN 2 ELSE 1 END"
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
-    "ah": ((), """
-        SELECT p_brand AS product_ref, p_name AS product_desc,
-               CASE o_orderstatus WHEN 'O' THEN 'ACTIVE' WHEN 'F' THEN 'CLOSED' ELSE 'DORMANT' END AS account_status
-        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey"""),
+    "ah": ((), f"""
+        SELECT 'P' || lpad(CAST(l_partkey % {HISTORY_CODES} AS VARCHAR), 2, '0') AS product_ref,
+               CASE WHEN l_tax > 0.01 THEN {pick_sql(PRODUCT_TEXTS, f'(l_partkey % {HISTORY_CODES})')} || ' ' || l_linestatus END AS product_desc,
+               CASE WHEN l_returnflag = 'A' AND l_partkey % {HISTORY_CODES} % 7 <> 0 THEN 'ACTIVE' WHEN l_returnflag = 'N' THEN 'CLOSED' ELSE 'DORMANT' END AS account_status
+        FROM lineitem"""),
     "master": ((), """
-        SELECT DISTINCT '  ' || lower(p_brand) || ' ' AS core_mapping, substr(sha256(upper(p_brand)), 1, 32) AS type_id
-        FROM part WHERE starts_with(p_brand, 'Brand#1')"""),
+        SELECT '  ' || lower(code) || ' ' AS core_mapping, substr(sha256(code), 1, 32) AS type_id
+        FROM (SELECT 'P' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code FROM nation)"""),
     "coded_part": ((), f"""
         SELECT p_partkey, p_type, p_brand, {CODE_SQL} AS code, p_name AS descr,
                CASE WHEN p_type IN ('PROMO', 'ECONOMY') THEN 'Fee item' ELSE 'Non-fee item' END AS l1,
