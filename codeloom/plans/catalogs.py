@@ -33,7 +33,9 @@ def transaction_catalog(
     samples: int = TRANSACTION_SAMPLES,
 ) -> DataFrame:
     """Volume and most frequent descriptions per code of one feed. Only code and description columns are kept."""
-    slim = keep_columns(rename(feed, mapping), CANONICAL_COLUMNS).withColumn("transaction_code", strip("transaction_code"))
+    slim = keep_columns(rename(feed, mapping), CANONICAL_COLUMNS).filter(F.col("transaction_code").isNotNull())
+    # Not null by construction, so no null check has to clean the code a second time.
+    slim = slim.withColumn("transaction_code", F.coalesce(strip("transaction_code"), F.lit("")))
     return top_descriptions(slim, "transaction_code", text, samples).withColumn("source_file", F.lit(source))
 
 

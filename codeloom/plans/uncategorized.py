@@ -21,28 +21,31 @@ def uncategorized_catalog(
 ) -> DataFrame:
     """One row per unknown code: volume, product status and most frequent descriptions.
 
-    Raw rows meet exactly one shuffle, and only after a map-side combine to (code, text, status)
-    counts, so a code that holds a third of all rows costs no more than its distinct texts. The master
-    is removed at one row per code; an anti join needs no null check because null keys never match.
-    Codes are compared and grouped by their normalized key. With ``current_only``, versions that have
-    ended are left out.
+    Rows are counted by their raw cells first: the map-side combine absorbs a code that holds a third
+    of all rows, and cells are cleaned once per distinct value instead of once per row. The master is
+    removed at one row per code; an anti join needs no null check because null keys never match. Codes
+    are compared and grouped by their normalized key. With ``current_only``, versions that have ended
+    are left out.
     """
     source = history.filter(F.col("valid_to").isNull()) if current_only else history
-    key = code_key(code)
-    rows = source.select(
-        key.alias("product_code"), strip(F.col(text).cast("string")).alias("text"),
-        F.upper(strip(F.col(status).cast("string"))).alias("state"),
-    ).filter(F.col("product_code").isNotNull() & (F.col("product_code") != ""))
-    counts = rows.groupBy("product_code", "text", "state").agg(F.count("*").alias("n"))
-    known = master.select(code_key(mapping).alias("product_code"))
+    raw = source.filter(F.col(code).isNotNull()).groupBy(code, text, status).agg(F.count("*").alias("n"))
+    # A key that cannot be null keeps joins from adding null filters to one of the branches only.
+    cleaned = raw.select(
+        F.coalesce(code_key(code), F.lit("")).alias("product_code"), strip(F.col(text).cast("string")).alias("text"),
+        F.upper(strip(F.col(status).cast("string"))).alias("state"), "n",
+    )
+    counts = cleaned.groupBy("product_code", "text", "state").agg(F.sum("n").alias("n"))
+    # Written over the count, so that it is not pushed down and cleaned row by row after all.
+    counts = counts.filter(F.when(F.col("product_code") != "", F.col("n")) > 0)
     codes = counts.groupBy("product_code").agg(
         F.sum("n").alias("volume"), status_rule(F.col("state")).alias("prod_status")
-    ).join(known, "product_code", "left_anti")
+    )
+    known = master.select(code_key(mapping).alias("product_code"))
     texts = counts.groupBy("product_code", "text").agg(F.sum("n").alias("n"))
     listed = ranked(texts, "product_code", "text", samples, F.col("text").isin("", "nan", "None")).groupBy("product_code").agg(
         F.collect_list(F.struct("rn", "text", "n")).alias("_samples")
     )
     found = F.coalesce(F.col("_samples"), F.array().cast("array<struct<rn:int,text:string,n:bigint>>"))
-    return codes.join(listed, "product_code", "left").select(
+    return codes.join(known, "product_code", "left_anti").join(listed, "product_code", "left").select(
         "product_code", "volume", "prod_status", sample_text(found, "text").alias("description_samples")
     )
