@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codeloom.functions.levels import Levels
@@ -41,18 +41,14 @@ def truth_profile(truth: DataFrame, code: str, spec: Levels, extra: Sequence[str
     )
 
 
-def _agreement_keys(values: Sequence[Column], masks: Sequence[tuple[int, ...]]) -> Column:
-    """One key per mask: the values of the levels in it, everything else blank."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(number).alias("mask"),
-                F.lit(sum(1 << i for i in mask)).alias("bits"),
-                *[(value if i in mask else F.lit("")).alias(f"k{i}") for i, value in enumerate(values)],
-            )
-            for number, mask in enumerate(masks)
-        ]
-    )
+def _agreement_keys(names: Sequence[str], masks: Sequence[tuple[int, ...]]) -> str:
+    """One key per mask: the values of the levels in it, everything else blank. Bit i of ``bits``
+    stands for level i. SQL text, because the array has many small parts."""
+    entries = []
+    for number, mask in enumerate(masks):
+        cells = ", ".join(f"'k{i}', {name if i in mask else repr('')}" for i, name in enumerate(names))
+        entries.append(f"named_struct('mask', {number}, 'bits', {sum(1 << i for i in mask)}, {cells})")
+    return f"array({', '.join(entries)})"
 
 
 def best_agreement(
@@ -71,24 +67,22 @@ def best_agreement(
     masks = [m for size in range(len(pairs) + 1) for m in combinations(positions, size)]
     keys = ["mask", *[f"k{i}" for i in positions]]
     wanted = truth.select(code, *[canon(t).alias(f"t{i}") for i, (_, t) in enumerate(pairs)]).distinct()
-    values = [F.col(f"t{i}") for i in positions]
-    offers = _agreement_keys(values, masks)
+    offers = _agreement_keys([f"t{i}" for i in positions], masks)
     free, free_decisive = F.lit(0), F.lit(0)
     if lenient:
-        empty = [(v == NULL_MARK).cast("int") for v in values]
-        free, free_decisive = sum(empty, F.lit(0)), sum(empty[:decisive], F.lit(0))
-        # A subset may demand only levels the truth fills: bit i of ``open`` stands for an empty level i.
-        opened = sum((e * (1 << i) for i, e in enumerate(empty)), F.lit(0))
-        offers = F.filter(offers, lambda a: a["bits"].bitwiseAND(opened) == 0)
-    offered = wanted.select(code, free.alias("f"), free_decisive.alias("fd"), F.explode(offers).alias("a"))
-    hits = sum((F.getbit(F.col("a.bits"), F.lit(i)).cast("int") for i in positions), F.lit(0))
-    hits_decisive = sum((F.getbit(F.col("a.bits"), F.lit(i)).cast("int") for i in range(decisive)), F.lit(0))
+        # Bit i of ``opened`` stands for an empty level i; a subset may demand only levels the truth fills.
+        opened = " + ".join(f"IF(t{i} = '{NULL_MARK}', {1 << i}, 0)" for i in positions)
+        offers = f"filter({offers}, a -> (a.bits & ({opened})) = 0)"
+        free, free_decisive = F.expr(f"bit_count({opened})"), F.expr(f"bit_count(({opened}) & {(1 << decisive) - 1})")
+    offered = wanted.select(code, free.alias("f"), free_decisive.alias("fd"), F.explode(F.expr(offers)).alias("a"))
+    hits, hits_decisive = F.expr("bit_count(a.bits)"), F.expr(f"bit_count(a.bits & {(1 << decisive) - 1})")
     offered = offered.select(code, "a.*", (hits_decisive + F.col("fd")).alias("best"), (hits + F.col("f")).alias("best_all"))
     offered = offered.groupBy(code, *keys).agg(F.max("best").alias("best"), F.max("best_all").alias("best_all"))
     own = list(dict.fromkeys([*key, code]))
-    asked = pred.select(*own, F.explode(_agreement_keys([canon(p) for p, _ in pairs], masks)).alias("a")).select(
-        *own, *[F.col(f"a.{k}").alias(k) for k in keys]
-    )
+    # Canonical values become columns before they are laid out, or each would be computed once per subset.
+    stated = pred.select(*own, *[canon(p).alias(f"p{i}") for i, (p, _) in enumerate(pairs)])
+    asked = stated.select(*own, F.explode(F.expr(_agreement_keys([f"p{i}" for i in positions], masks))).alias("a"))
+    asked = asked.select(*own, *[F.col(f"a.{k}").alias(k) for k in keys])
     return asked.join(offered, [code, *keys]).groupBy(*key).agg(
         F.max("best").alias("best"), F.max("best_all").alias("best_all")
     )

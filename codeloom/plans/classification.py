@@ -15,15 +15,16 @@ from codeloom.operators.inference import Backend
 RULES_MODEL = "rules"
 
 
-def _transaction_entry(item: Column) -> Column:
-    placed = rules.transaction_placement(item["description_samples"])
-    return F.struct(
-        item["code"].alias("transaction_code"),
-        *[placed[f"category_{i}"].alias(f"category_{i}") for i in range(1, 5)],
-        rules.include_in_scoring(placed["category_1"], placed["category_2"]).alias("include_in_scoring"),
-        rules.direction(item["description_samples"]).alias("credit_debit"),
-        placed["confidence"].alias("confidence"),
+def _with_transaction_answer(catalog: DataFrame) -> DataFrame:
+    placed = catalog.withColumn("_placed", rules.transaction_placement("description_samples"))
+    answer = F.struct(
+        F.col("transaction_code"),
+        *[F.col(f"_placed.category_{i}").alias(f"category_{i}") for i in range(1, 5)],
+        rules.include_in_scoring("_placed.category_1", "_placed.category_2").alias("include_in_scoring"),
+        rules.direction("description_samples").alias("credit_debit"),
+        F.col("_placed.confidence").alias("confidence"),
     )
+    return placed.withColumn("_answer", answer).drop("_placed")
 
 
 def classify_transactions(
@@ -45,9 +46,7 @@ def classify_transactions(
         "source_file": "source_file", "layer": "layer",
     }
     if backend is None:
-        catalog = catalog.withColumn("_answer", _transaction_entry(
-            F.struct(F.col("transaction_code").alias("code"), F.col("description_samples"))
-        ))
+        catalog = _with_transaction_answer(catalog)
         items["_answer"] = "_answer"
     batched = batching.assign_batches(catalog, "layer", ["transaction_code", "source_file"], size)
     requests = batching.batch_requests(batched, batching.transaction_line(), items, system=system)

@@ -7,6 +7,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry  # noqa: E402
+from codeloom.registry import views  # noqa: E402
 from tools import check  # noqa: E402
 
 QUERIES = entry.queries()
@@ -49,3 +50,9 @@ def test_query_agrees_with_sql(spark, sf, db, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(views.TABLES))
+def test_declared_schemas_equal_the_files(spark, sf, name):
+    stored = spark.read.parquet(f"{sf}/{name}.parquet")
+    assert [(f.name, f.dataType) for f in views.table(spark, sf, name).schema] == [(f.name, f.dataType) for f in stored.schema]
