@@ -468,7 +468,7 @@ WITH dep AS (SELECT acctno, sccode AS code, coalesce(description, '(unknown)') A
             FROM (SELECT * FROM loans QUALIFY row_number() OVER (PARTITION BY acctno, type ORDER BY o_orderkey) = 1) LEFT JOIN loan_types ON code = type),
      a AS (SELECT * FROM dep UNION ALL SELECT * FROM ln)
 SELECT acctno AS "AccountIdentifier", code AS "ProductInstanceReference", descr AS "ProductInstanceDescription", branch AS "BranchLocationReference",
-       opened AS "AccountOpeningDate", state AS "AccountStatus", CAST(rate AS DOUBLE) AS "InterestRate"
+       strftime(opened, '%Y-%m-%d') AS "AccountOpeningDate", state AS "AccountStatus", CAST(rate AS DOUBLE) AS "InterestRate"
 FROM a"""
 CAP_SQL = """ QUALIFY row_number() OVER (PARTITION BY code ORDER BY acctno, descr, state) <= 50"""
 
@@ -482,7 +482,8 @@ def _history(spark: SparkSession, sf: str, cap: int | None) -> DataFrame:
     )
     return rows.select(
         "AccountIdentifier", "ProductInstanceReference", "ProductInstanceDescription", "BranchLocationReference",
-        "AccountOpeningDate", "AccountStatus", F.col("InterestRate").cast("double").alias("InterestRate"),
+        F.date_format("AccountOpeningDate", "yyyy-MM-dd").alias("AccountOpeningDate"), "AccountStatus",
+        F.col("InterestRate").cast("double").alias("InterestRate"),
     )
 
 
@@ -514,7 +515,7 @@ def q_text_cleaning(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("q_parse_values", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE o_totalprice END AS amount,
-       CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS opened
+       CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS opened
 FROM orders""")
 def q_parse_values(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("o_orderkey")
@@ -524,7 +525,8 @@ def q_parse_values(spark: SparkSession, sf: str) -> DataFrame:
         F.when(key % 3 == 0, F.date_format("o_orderdate", "MM/dd/yyyy")).when(key % 3 == 1, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
         .otherwise("31.31.2020").alias("opened"),
     )
-    return raw.select("o_orderkey", parse.to_number("amount").alias("amount"), parse.to_date_mixed("opened").alias("opened"))
+    opened = F.date_format(parse.to_date_mixed("opened"), "yyyy-MM-dd")
+    return raw.select("o_orderkey", parse.to_number("amount").alias("amount"), opened.alias("opened"))
 
 
 PROFILE_SQL = """

@@ -24,6 +24,8 @@ def query(name: str, sql: str | None = None):
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
+    # Event times carry no zone; day windows are UTC days.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     schema = v.table(spark, sf, "events").schema
     return ingest.event_time(ingest.open_files(spark, f"{sf}/events*.parquet", schema), "ts")
 
@@ -62,18 +64,20 @@ def q_stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("q_stream_windows", """
-SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS volume FROM events GROUP BY 1, 2
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS window_start, event_type, count(*) AS volume FROM events GROUP BY date_trunc('day', ts), event_type
 HAVING date_trunc('day', any_value(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""")
 def q_stream_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Closed day windows; windows the watermark still holds open are not emitted."""
     out = work_dir(spark, "windows")
     counted = volumes.window_volume(_events(spark, sf), "event_type", "ts", "1 day")
     ingest.drain(counted, out, work_dir(spark, "state"))
-    return spark.read.schema(counted.schema).parquet(out).select("window_start", "event_type", "volume")
+    return spark.read.schema(counted.schema).parquet(out).select(
+        F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), "event_type", "volume"
+    )
 
 
 @query("q_stream_new_codes", """
-SELECT upper(event_type) AS code, min(ts) AS first_seen, count(*) AS volume FROM events
+SELECT upper(event_type) AS code, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_seen, count(*) AS volume FROM events
 WHERE upper(event_type) NOT IN (SELECT upper(role) FROM conversations) AND event_type NOT IN ('click', 'view') GROUP BY 1""")
 def q_stream_new_codes(spark: SparkSession, sf: str) -> DataFrame:
     """Event types that neither the roles nor the mapped types know."""
@@ -82,4 +86,5 @@ def q_stream_new_codes(spark: SparkSession, sf: str) -> DataFrame:
         v.table(spark, sf, "events").filter(F.col("event_type").isin("click", "view")).select(F.col("event_type").alias("code")).distinct()
     )
     exceptions.report_new_codes(_events(spark, sf), known, out, work_dir(spark, "state"), "event_type", "ts", "code")
-    return exceptions.reported_codes(spark, out)
+    stamp = F.date_format("first_seen", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return exceptions.reported_codes(spark, out).withColumn("first_seen", stamp)
