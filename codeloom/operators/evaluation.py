@@ -195,8 +195,14 @@ def kpi(evaluated: DataFrame, spec: Levels, weight: str, target: float = TARGET)
         F.coalesce(rate(F.when(second, F.col("exact_match"))), F.lit(0.0)).alias("l2_any_match"),
     ]
     flags = [f"match_L{i + 1}" for i in range(spec.depth)] + ["partial_match_L1L2", "exact_match"]
+    weighted = ["partial_match_L1L2", "exact_match"]
+    if spec.decisive < spec.depth:
+        # Levels behind the decisive ones are reported for information.
+        flags.append("full_match")
+        weighted.append("full_match")
+        cells.append(F.coalesce(rate(F.when(second, F.col("full_match"))), F.lit(0.0)).alias("l2_any_full_match"))
     for flag in flags:
         cells.append(rate(F.when(first, F.col(flag))).alias(flag))
-    for flag in ("partial_match_L1L2", "exact_match"):
+    for flag in weighted:
         cells.append(weighted_rate(F.when(first, F.col(flag)), F.when(first, w)).alias(f"w_{flag}"))
     return evaluated.agg(*cells).withColumn("target", target_status(F.col("w_exact_match"), target))

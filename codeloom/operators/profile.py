@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codeloom.functions.text import strip
@@ -80,6 +80,16 @@ def map_columns(profiles: DataFrame, canonical: Mapping[str, tuple[str, tuple[st
     return unique.select(F.col("column").alias("client_column"), "canonical_column", "score")
 
 
+def mapping_table(mapping: DataFrame, run_timestamp: Column) -> DataFrame:
+    """The mapping as it is stored."""
+    return mapping.select("client_column", "canonical_column", run_timestamp.alias("run_timestamp"))
+
+
+def as_names(mapping: DataFrame) -> dict[str, str]:
+    """The mapping for renaming: column names, at most one per canonical column."""
+    return {r["client_column"]: r["canonical_column"] for r in mapping.collect()}
+
+
 def twice_used(mapping: DataFrame) -> DataFrame:
     """Audit: canonical columns claimed more than once."""
     return mapping.groupBy("canonical_column").count().filter(F.col("count") > 1)

@@ -62,7 +62,7 @@ FEE_RULES = (
     Rule(word("fx|currency|foreign exchange|voice response|redeposit|telephone transfer|transfer"),
          _fee(OTHERS, MOVE, "Transfers & Payments")),
     Rule(word("service charge|service charges|service fee|annual fee|annual account fee|box rental|"
-              "annual rental|monthly service|minimum fee|admin fee|s/c|maintenance fee"), _fee(SERVICE)),
+              "annual rental|monthly service|minimum fee|admin fee|s/c|maintenance fee|fee waiver|fee in service charge"), _fee(SERVICE)),
     Rule(word("chargeback|chargebacks|stop payment|check image|check order|close account|collection item|counter check|"
               "credit back|dormant|escheated|excess|fax|image|bill pay|alert|lost|debit card|statement|statements|"
               "research|safe deposit|mail|bad address|notary|hb transaction|reconciliation|ach block|uncollected balance|"
@@ -70,14 +70,13 @@ FEE_RULES = (
 )
 
 NON_FEE_RULES = (
-    Rule(word("fee waiver|waived fee"), _non_fee(MOVE, "Deposits"), confidence=0.7),
     Rule(word("memo|pre-auth|preauth"), _non_fee(OPS, "Memo Posting"), veto=word("pos|recurring")),
     Rule(word("cd|cds|certificate|certificates"), _non_fee(OPS), veto=word("transfer|xfer"), confidence=0.8),
     Rule(word("ach block|edi|electronic data interchange|zba|rdc|syndication|accounts payable|cash management|"
               "mutual fund|investment|dealer|lease|stockholder|trust|trade|trade-related|account reconciliation|"
               "business mobile deposit|arp|pos pay|batch|file upload|sweeps"), _non_fee(MISC),
          veto=word("insured cash")),
-    Rule(word("insured cash|ics"), _non_fee(OPS, "Integration")),
+    Rule(word("insured cash|ics|int to bal"), _non_fee(OPS, "Integration")),
     Rule(word("nsf|odp|overdraft|od balance|returned deposited|returned cashed|return item"), _non_fee(NSF)),
     Rule(word("withholding|garnishment|levy|federal interest withheld|state interest withheld|"
               "federal/state interest withheld"), _non_fee(OPS, "Govt. & Tax")),

@@ -275,6 +275,28 @@ def q_kpi(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.kpi(evaluated(spark, sf), TRANSACTION, "volume")
 
 
+PRODUCT_KPI_FLAGS = [*[f"match_L{i}" for i in range(1, 6)], "partial_match_L1L2", "exact_match", "full_match"]
+
+
+@query("q_kpi_products", with_views("ppred pgt_single pgt_counts", f"""
+WITH one AS (SELECT p.account_count, {', '.join(f'{p.replace("(g", "(s.g")} AS "match_L{i + 1}"' for i, p in enumerate(P))}
+             FROM ppred p JOIN pgt_single s USING (product_code) WHERE layer = 1 AND NOT (g1 IS NULL AND g2 IS NULL)),
+     f AS (SELECT *, "match_L1" AND "match_L2" AS "partial_match_L1L2", "match_L1" AND "match_L2" AND "match_L3" AS exact_match,
+                  "match_L1" AND "match_L2" AND "match_L3" AND "match_L4" AND "match_L5" AS full_match FROM one),
+     two AS (SELECT product_code, coalesce(bool_or({' AND '.join(P[:3])}) FILTER (g2 IS NOT NULL), false) AS can,
+                    coalesce(bool_or({' AND '.join(P)}) FILTER (g2 IS NOT NULL), false) AS ful
+             FROM ppred LEFT JOIN pgt USING (product_code) WHERE layer = 2 GROUP BY 1),
+     kept AS (SELECT * FROM ppred LEFT JOIN pgt_counts USING (product_code) WHERE NOT (layer = 1 AND coalesce(n, 0) > 1)),
+     a AS (SELECT count(*) AS codes, CAST(sum(account_count) AS BIGINT) AS total_weight, count(*) FILTER (layer = 2) AS l2_codes, count(*) FILTER (layer = 3) AS l3_codes FROM kept),
+     b AS (SELECT count(*) AS l1_codes, CAST(coalesce(sum(account_count), 0) AS BIGINT) AS l1_weight,
+                  {', '.join(f'round(avg(CAST("{f}" AS DOUBLE)), 6) AS "{f}"' for f in PRODUCT_KPI_FLAGS)},
+                  {', '.join(f'round(coalesce(sum(account_count) FILTER ("{f}"), 0)::DOUBLE / greatest(sum(account_count), 1), 6) AS "w_{f}"' for f in PRODUCT_KPI_FLAGS[5:])} FROM f),
+     c AS (SELECT coalesce(round(avg(CAST(can AS DOUBLE)), 6), 0.0::DOUBLE) AS l2_any_match, coalesce(round(avg(CAST(ful AS DOUBLE)), 6), 0.0::DOUBLE) AS l2_any_full_match FROM two)
+SELECT *, CASE WHEN "w_exact_match" >= 0.8 THEN 'MET' ELSE 'BELOW TARGET' END AS target FROM a, b, c"""))
+def q_kpi_products(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluation.kpi(evaluated_products(spark, sf), PRODUCT, "account_count")
+
+
 @query("q_cost_summary", with_views("pred", """
 WITH b AS (SELECT prompt_version, batch_id, max(tokens_in) AS ti, max(tokens_out) AS tou, max(estimated_cost) AS c, sum(estimated_cost) AS r, count(*) AS n
            FROM pred GROUP BY 1, 2)

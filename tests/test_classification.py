@@ -72,6 +72,31 @@ GOLDEN = {
     "Statement Fee": (FEE, "All others", "Account operations", "Misc"),
     "Dormant Fee": (FEE, "All others", "Account operations", "Misc"),
     "Voice Response Transaction Fee": (FEE, "All others", "Money movement", "Transfers & Payments"),
+    "Int to Bal/Raise YTD (EFT Only)": (N, "Account operations", "Integration", None),
+    "Insured Cash Sweeps (ICS) Debit": (N, "Account operations", "Integration", None),
+    "Check stop payment": (N, "Account operations", "Fraud & Stop Payment", None),
+    "Interest Transfer Credit": (N, "Account operations", "Interest", None),
+    "Interest charged": (N, "Account operations", "Interest", None),
+    "Christmas Club Closing Entry": (N, "Account operations", "Closing", None),
+    "HSA Death Distribution": (N, "Account operations", "Closing", None),
+    "Contract Collection Reversal": (N, "Account operations", "Operational", None),
+    "Transfer to CD": (N, "Money movement", "Transfers & Payments", None),
+    "Safe Deposit Rental Payment": (N, "Money movement", "Transfers & Payments", None),
+    "Savings Force Pay Deposit": (N, "Money movement", "Deposits", None),
+    "Descriptive Debit (EFT)": (N, "Money movement", "Withdrawals", None),
+    "ACH Credit Back Item": (N, "Money movement", "ACH", None),
+    "Int Bnking ARP file upload": (N, "Misc", None, None),
+    "Business Mobile Deposit": (N, "Misc", None, None),
+    "Stockholder Dividend Deposit": (N, "Misc", None, None),
+    "Fee waiver": (FEE, "Service Charges", None, None),
+    "Overdraft fee waiver": (FEE, "NSF/OD", None, None),
+    "Balance inquiry fee at foreign ATM": (FEE, "All others", "Money movement", "ATM"),
+    "Daily Uncollected Balance Fee": (FEE, "All others", "Account operations", "Misc"),
+    "Transit Fee in Service Charge": (FEE, "All others", "Account operations", "Misc"),
+    "Safe Deposit Box Annual Rental Fee": (FEE, "Service Charges", None, None),
+    "Int Bnking Service Charge": (FEE, "Service Charges", None, None),
+    "Overdraft Fee Reversal": (N, "Money movement", "Deposits", None),
+    "ATM fee refund": (N, "Money movement", "Deposits", None),
     "Something Fee": (FEE, "Unclassified", None, None),
     "Something else": (N, "Unclassified", None, None),
     "": (N, "Unclassified", None, None),
@@ -284,6 +309,9 @@ def test_profile_labels(spark):
         "TRANCD": "transaction_code", "EFHDS1": "description_1", "description": "transaction_desc",
     }
     assert profile.twice_used(mapping).count() == 0
+    assert profile.as_names(mapping)["EFHDS1"] == "description_1"
+    stored = profile.mapping_table(mapping, now())
+    assert [(f.name, f.dataType) for f in stored.schema] == [(f.name, f.dataType) for f in schemas.COLUMN_MAPPINGS]
 
 
 def test_illegal_paths(spark):
