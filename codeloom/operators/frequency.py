@@ -83,9 +83,14 @@ def top_descriptions(
     )
 
 
-def distribution(df: DataFrame, code: str, value: str, keep: int = 5, digits: int = 3) -> DataFrame:
-    """Top ``keep`` values per code with their share of *all* valid rows of the code, half-even rounded."""
-    counts = tally(df.filter(F.col(value).isNotNull()), code, value)
+def distribution(
+    df: DataFrame, code: str, value: str, keep: int = 5, digits: int = 3, count: Column | None = None
+) -> DataFrame:
+    """Top ``keep`` values per code with their share of *all* valid rows of the code, half-even rounded.
+
+    ``count`` weighs rows that were counted already, so that a join can come after the counting.
+    """
+    counts = tally(df.filter(F.col(value).isNotNull()), code, value, count)
     totals = counts.groupBy(code).agg(F.sum("n").alias("_total"))
     share = F.bround(F.col("n") / F.col("_total"), digits)
     return ranked(counts, code, value, keep).join(totals, code).select(code, value, "rn", "n", share.alias("share"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codeloom.functions.levels import layer_name
@@ -28,8 +28,9 @@ def assign_layers(catalog: DataFrame, truth: DataFrame, code: str, levels: Seque
 
 
 def layer_summary(catalog: DataFrame, code: str, weight: str) -> DataFrame:
-    """Distinct codes, total weight and its share per layer; the share divides by a scalar subquery."""
-    overall = catalog.agg(F.sum(weight)).scalar()
+    """Distinct codes, total weight and its share per layer. The overall total is taken over the three
+    layer rows, so the catalog is read once."""
+    overall = F.sum("total").over(Window.partitionBy())
     return (
         catalog.groupBy("layer")
         .agg(F.count_distinct(code).alias("codes"), F.sum(weight).alias("total"))

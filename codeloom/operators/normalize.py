@@ -86,8 +86,7 @@ def apply_map_table(df: DataFrame, column: str, table: DataFrame, source: str, t
 
     No broadcast hint: the planner broadcasts the table when its measured size allows it.
     """
-    side = table.select(F.col(source).alias("_from"), F.col(target).alias("_to"), F.lit(True).alias("_known"))
-    side = side.dropDuplicates(["_from"])
+    side = table.groupBy(F.col(source).alias("_from")).agg(F.max(target).alias("_to"), F.lit(True).alias("_known"))
     joined = df.join(side, F.col(column) == F.col("_from"), "left")
     value = F.when(F.col("_known"), F.col("_to")).otherwise(F.col(column))
     return joined.withColumn(column, value).drop("_from", "_to", "_known")

@@ -97,10 +97,11 @@ WITH c AS (SELECT p_brand AS code, l_linenumber AS value, count(*) AS n FROM lin
      r AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY n DESC, value) AS rn, sum(n) OVER (PARTITION BY code) AS total FROM c)
 SELECT code, value, CAST(rn AS INTEGER) AS rn, n, round_even(n / total, 3) AS share FROM r WHERE rn <= 5""")
 def q_distribution(spark: SparkSession, sf: str) -> DataFrame:
-    line = v.table(spark, sf, "lineitem").select("l_partkey", F.col("l_linenumber").alias("value"))
+    # Counted per part before the join, so that a part with very many lines is one row per value.
+    line = v.table(spark, sf, "lineitem").groupBy("l_partkey", F.col("l_linenumber").alias("value")).agg(F.count("*").alias("lines"))
     part = v.table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("code"))
     rows = line.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    return frequency.distribution(rows, "code", "value", 5)
+    return frequency.distribution(rows, "code", "value", 5, count=F.col("lines"))
 
 
 STATUS_SQL = "CASE o_orderstatus WHEN 'O' THEN 'ACTIVE' WHEN 'F' THEN 'CLOSED' ELSE 'PENDING' END"

@@ -390,15 +390,21 @@ def q_taxonomy_valid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("q_label_eval", """
-WITH p AS (SELECT doc_id, length(text) - length(replace(text, '.', '')) > 20 AS long_text FROM documents),
-     j AS (SELECT quality = 1 AS truth, long_text AS pred FROM p JOIN labels USING (doc_id))
-SELECT truth, pred, count(*) AS n FROM j GROUP BY 1, 2""")
+WITH j AS (SELECT lang, n_chars, (length(text) - length(replace(text, '.', '')) > 20) = (quality = 1) AS hit, toxic = 1 AS toxic
+           FROM documents JOIN labels USING (doc_id))
+SELECT lang, count(*) AS codes, CAST(sum(n_chars) AS BIGINT) AS weight, round(avg(CAST(hit AS DOUBLE)), 6) AS hit,
+       round(coalesce(sum(n_chars) FILTER (hit), 0)::DOUBLE / greatest(sum(n_chars), 1), 6) AS w_hit, round(avg(CAST(toxic AS DOUBLE)), 6) AS toxic,
+       round(coalesce(sum(n_chars) FILTER (toxic), 0)::DOUBLE / greatest(sum(n_chars), 1), 6) AS w_toxic
+FROM j GROUP BY 1""")
 def q_label_eval(spark: SparkSession, sf: str) -> DataFrame:
-    """A rule flag over whole texts against the label."""
+    """A rule flag over whole texts against the label, plain and weighted by length, per language."""
     stops = F.length("text") - F.length(F.replace("text", F.lit("."), F.lit("")))
-    docs = v.table(spark, sf, "documents").select("doc_id", (stops > 20).alias("pred"))
-    labels = v.table(spark, sf, "labels").select("doc_id", (F.col("quality") == 1).alias("truth"))
-    return labels.join(docs, "doc_id").groupBy("truth", "pred").agg(F.count("*").alias("n"))
+    docs = v.table(spark, sf, "documents").select("doc_id", "lang", "n_chars", (stops > 20).alias("flag"))
+    labels = v.table(spark, sf, "labels")
+    frame = docs.join(labels, "doc_id").select(
+        "lang", "n_chars", (F.col("flag") == (F.col("quality") == 1)).alias("hit"), (F.col("toxic") == 1).alias("toxic")
+    )
+    return evaluation.accuracy(frame, ["hit", "toxic"], "n_chars", ["lang"])
 
 
 @query("q_match_rules", with_views("pred gt_single", f"""

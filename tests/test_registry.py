@@ -15,8 +15,8 @@ ORACLES = entry.oracle_sql()
 
 # Plans that may never appear: they compare all pairs or run in one place.
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
-# Windows over one row per version.
-SINGLE_WINDOW = {"q_version_compare"}
+# Windows over one row per version or layer.
+SINGLE_WINDOW = {"q_version_compare", "q_layer_summary"}
 
 
 @pytest.fixture(scope="module")

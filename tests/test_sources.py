@@ -12,7 +12,7 @@ from codeloom.sources import delimited, ragged, tables
 HEADER = ["A", "B", "C", "D", "E", "F", "D1", "D2", "T1", "T2"]
 
 
-def reference_repair(lines):
+def sequential_repair(lines):
     """The repair rule, one line at a time."""
     out, rejected = [], 0
     for fields in csv.reader(lines):
@@ -31,7 +31,7 @@ def test_ragged_lines_equal_a_sequential_parse(spark):
         words = ["THIS", "THAT", 'q"uote', "x y", "", '"quoted, comma"', '"dou""ble"']
         fields = [rng.choice(words) for _ in range(rng.choice([9, 10, 10, 10, 11, 12, 14]))]
         lines.append(",".join(fields))
-    want, rejected = reference_repair(lines)
+    want, rejected = sequential_repair(lines)
     df = spark.createDataFrame([(line,) for line in lines], "value string")
     got, rejects = ragged.repair(df, HEADER)
     assert rows(got) == sorted(want, key=repr)
