@@ -137,19 +137,21 @@ LINE_ORDER = (
 
 
 @query("q_dedupe_first", f"""
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate FROM lineitem
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, strftime(l_shipdate, '%Y-%m-%d') AS shipped FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(LINE_ORDER)}) = 1""")
 def q_dedupe_first(spark: SparkSession, sf: str) -> DataFrame:
     rows = ordering.first_per_key(v.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], LINE_ORDER)
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+    shipped = F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", shipped)
 
 
 @query("q_cap_per_code", f"""
-SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem
+SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, strftime(l_shipdate, '%Y-%m-%d') AS shipped FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY {', '.join(LINE_ORDER)}) <= 50""")
 def q_cap_per_code(spark: SparkSession, sf: str) -> DataFrame:
     rows = ordering.cap_per_key(v.table(spark, sf, "lineitem"), ["l_suppkey"], LINE_ORDER, 50)
-    return rows.select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    shipped = F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped")
+    return rows.select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", shipped)
 
 
 @query("q_running_total", """

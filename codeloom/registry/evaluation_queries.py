@@ -61,6 +61,11 @@ def _rates_sql(flags: list[str], weight: str) -> str:
     return ", ".join(out)
 
 
+def as_text(frame: DataFrame) -> DataFrame:
+    """Verdicts as text: true, false or null."""
+    return frame.select(*[F.col(c).cast("string").alias(c) if t == "boolean" else F.col(c) for c, t in frame.dtypes])
+
+
 def layer_one(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.layer_one(
         v.predictions(spark, sf), v.truth(spark, sf), TRANSACTION, "transaction_code", ["gt_desc"], ORDER
@@ -145,12 +150,21 @@ def evaluated_products(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("q_eval_products", with_views("ppred pgt_single pgt_counts", PRODUCT_EVAL_SQL))
+def _text_sql(body: str, flags: list[str]) -> str:
+    """The last SELECT of ``body`` with its flags as text."""
+    shown = ", ".join(f'CAST("{f}" AS VARCHAR) AS "{f}"' for f in flags)
+    return f"SELECT * REPLACE ({shown}) FROM ({body})"
+
+
+PRODUCT_VERDICTS = [*[f"match_L{i}" for i in range(1, 6)], "canonical_match", "full_match", "exact_match"]
+
+
+@query("q_eval_products", _text_sql(with_views("ppred pgt_single pgt_counts", PRODUCT_EVAL_SQL), PRODUCT_VERDICTS))
 def q_eval_products(spark: SparkSession, sf: str) -> DataFrame:
-    return evaluated_products(spark, sf).select(
+    return as_text(evaluated_products(spark, sf).select(
         "product_code", "layer", F.col("gt_L1_line_of_business").alias("g1"), *[f"match_L{i}" for i in range(1, 6)],
         "canonical_match", "full_match", "exact_match", "failure_type", "review_status",
-    )
+    ))
 
 
 @query("q_excluded_truth", with_views("pgt_all", """
@@ -185,11 +199,11 @@ UNION ALL SELECT prompt_version, transaction_code, 2, volume, NULL, NULL, NULL,
 UNION ALL SELECT prompt_version, transaction_code, 3, volume, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'NEEDS MANUAL REVIEW' FROM pred WHERE layer = 3"""
 
 
-@query("q_eval_table", with_views("pred gt gt_single", f"WITH {L1_SQL.strip()},{L2_SQL}{EVAL_TABLE_SQL}"))
+@query("q_eval_table", _text_sql(with_views("pred gt gt_single", f"WITH {L1_SQL.strip()},{L2_SQL}{EVAL_TABLE_SQL}"), FLAGS))
 def q_eval_table(spark: SparkSession, sf: str) -> DataFrame:
-    return evaluated(spark, sf).select(
+    return as_text(evaluated(spark, sf).select(
         "prompt_version", "transaction_code", "layer", "volume", "gt_L1", *FLAGS, "failure_type", "review_status"
-    )
+    ))
 
 
 @query("q_review_counts", with_views("pred", """
