@@ -12,10 +12,10 @@ HOT_SHARE = 0.01
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys above the share, counted with a map-side combine. Settled, so that every branch that asks
+    """Keys above the share of all rows that have a key, counted with a map-side combine. Settled, so that every branch that asks
     for them gets the same answer. At most 1 / share rows."""
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = df.agg(F.count("*")).scalar()
+    total = counts.agg(F.sum("_n")).scalar()
     return settle(counts.filter(F.col("_n") > total * share).select(F.col(key).alias("_hot")))
 
 

@@ -41,12 +41,11 @@ HIERARCHY_HEADING = "LoB"
 
 def transaction_truth(sheet: DataFrame) -> DataFrame:
     """Cleaned truth: section rows, blank codes, repeated headers and non-numeric codes are dropped,
-    level spellings unified."""
+    level spellings unified. A row without a first level stays: its code is known, its path empty."""
     code, level1 = "External Transaction Code", "Scoring Category 1"
     rows = numeric_codes(drop_header_leaks(drop_blank_codes(strip_strings(sheet), code), level1, level1), code)
     named = rename(rows, TRANSACTION_COLUMNS).select(*TRANSACTION_ORDER)
-    mapped = apply_maps(named, TRANSACTION_LEVEL_MAPS)
-    return clean_artifacts(mapped.filter(F.col("gt_L1").isNotNull()), TRANSACTION_ORDER)
+    return clean_artifacts(apply_maps(named, TRANSACTION_LEVEL_MAPS), TRANSACTION_ORDER)
 
 
 def product_truth(sheet: DataFrame, domain: str) -> DataFrame:

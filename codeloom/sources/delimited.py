@@ -8,8 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Encoding of the headed and headerless sheets.
+from codeloom.functions.text import nullify
+
+# Encoding of the headed and headerless sheets, and the cells that are read as null.
 ENCODING = "ISO-8859-1"
+NULL_CELLS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL",
+    "NaN", "None", "n/a", "nan", "null",
+)
 
 
 def _text_schema(names: Sequence[str]) -> T.StructType:
@@ -17,7 +23,8 @@ def _text_schema(names: Sequence[str]) -> T.StructType:
 
 
 def read_headed(
-    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, multiline: bool = False
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, multiline: bool = False,
+    null_cells: Sequence[str] = NULL_CELLS,
 ) -> DataFrame:
     """Headed CSV, one file or all files of a pattern; no match is an error raised by Spark.
 
@@ -33,10 +40,13 @@ def read_headed(
     else:
         reader = reader.option("inferSchema", False)
     df = reader.csv(path)
-    return df.toDF(*[c.strip() for c in df.columns])
+    named = df.toDF(*[c.strip() for c in df.columns])
+    return named.select(*[nullify(F.col(f"`{c}`"), null_cells).alias(c) for c in named.columns])
 
 
-def read_positional(spark: SparkSession, path: str, width: int) -> DataFrame:
+def read_positional(
+    spark: SparkSession, path: str, width: int, null_cells: Sequence[str] = NULL_CELLS
+) -> DataFrame:
     """Headerless sheet as columns c0..; ``sheet`` is the file and ``rn`` the row order within it.
 
     ``rn`` follows the reading order: increasing within a file part, and parts of a file are read in
@@ -48,5 +58,6 @@ def read_positional(spark: SparkSession, path: str, width: int) -> DataFrame:
         .option("quote", '"').option("escape", '"').schema(_text_schema(names)).csv(path)
     )
     return df.select(
-        F.col("_metadata.file_path").alias("sheet"), F.monotonically_increasing_id().alias("rn"), *names
+        F.col("_metadata.file_path").alias("sheet"), F.monotonically_increasing_id().alias("rn"),
+        *[nullify(c, null_cells).alias(c) for c in names],
     )

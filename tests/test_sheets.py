@@ -81,6 +81,7 @@ def test_transaction_truth_cleaning(spark):
         (" 0163 ", "ACH Credit", "Non-fee item", "Money Movement", "ACH", "N/A", "Credit"),
         ("299", "ATM", "Fee Item", "All others", "Money Movement", "ATM", "nan"),
         ("12", "NSF", "Fee item", "NSF /OD", "N/A", "nan", "Debit"),
+        ("13", "no level", None, "Unclassified", None, None, None),
         ("", "section", "x", None, None, None, None), (None, "section", None, None, None, None, None),
         ("nan", "generic", "Fee item", None, None, None, None), ("A1", "alpha", "Fee item", None, None, None, None),
         ("External Transaction Code", "External Transaction Description", "Scoring Category 1", "Scoring Category 2", "", "", ""),
@@ -90,6 +91,7 @@ def test_transaction_truth_cleaning(spark):
         ("0163", "ACH Credit", "Non-fee item", "Money movement", "ACH", None, "Credit"),
         ("299", "ATM", "Fee item", "All others", "Money movement", "ATM", None),
         ("12", "NSF", "Fee item", "NSF/OD", None, None, "Debit"),
+        ("13", "no level", None, "Unclassified", None, None, None),
     ], key=repr)
 
 

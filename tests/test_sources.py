@@ -62,17 +62,17 @@ def test_ragged_files(spark, tmp_path):
 
 def test_headed_files(spark, tmp_path):
     (tmp_path / "x1.csv").write_bytes(" Code ,Name\n01,caf\xe9\n02,\"a, \"\"b\"\"\"\n".encode("latin-1"))
-    (tmp_path / "x2.csv").write_bytes(b" Code ,Name\n003,z\n")
+    (tmp_path / "x2.csv").write_bytes(b" Code ,Name\n003,N/A\n")
     got = delimited.read_headed(spark, f"{tmp_path}/x*.csv")
     assert got.columns == ["Code", "Name"]
-    assert rows(got) == [("003", "z"), ("01", "café"), ("02", 'a, "b"')]
+    assert rows(got) == [("003", None), ("01", "café"), ("02", 'a, "b"')]
     assert delimited.read_headed(spark, f"{tmp_path}/x2.csv", ["K", "V"]).columns == ["K", "V"]
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         delimited.read_headed(spark, f"{tmp_path}/none*.csv").collect()
 
 
 def test_positional_sheets_keep_their_order(spark, tmp_path):
-    (tmp_path / "s.csv").write_text("U1,x\n\"multi\nline\",y\n,z\n")
+    (tmp_path / "s.csv").write_text("U1,x\n\"multi\nline\",y\nNA,z\n")
     got = delimited.read_positional(spark, f"{tmp_path}/s.csv", 3).orderBy("rn").collect()
     assert [(r["c0"], r["c1"], r["c2"]) for r in got] == [("U1", "x", None), ("multi\nline", "y", None), (None, "z", None)]
     assert got[0]["sheet"].endswith("s.csv")
