@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codeloom.functions.text import NULL_MARK, canon
@@ -71,13 +71,10 @@ def level_matches(spec: Levels) -> dict[str, Column]:
     return {f"match_L{i + 1}": match_lenient(p, t) for i, (p, t) in enumerate(zip(spec.pred, spec.truth))}
 
 
-def match_columns(spec: Levels) -> dict[str, Column]:
-    """Per-level matches and their combinations, as expressions over prediction and truth columns."""
-    single = level_matches(spec)
-    parts = list(single.values())
-    out = dict(single)
-    out["partial_match_L1L2"] = all_of(parts[:2])
-    out["partial_match_L1L2L3"] = all_of(parts[:3])
+def combined_matches(spec: Levels) -> dict[str, Column]:
+    """Combinations of the per-level matches, as expressions over the match columns."""
+    parts = [F.col(f"match_L{i + 1}") for i in range(spec.depth)]
+    out = {"partial_match_L1L2": all_of(parts[:2]), "partial_match_L1L2L3": all_of(parts[:3])}
     if spec.decisive < spec.depth:
         out["canonical_match"] = all_of(parts[: spec.decisive])
         out["full_match"] = all_of(parts)
@@ -85,6 +82,15 @@ def match_columns(spec: Levels) -> dict[str, Column]:
     return out
 
 
+def match_names(spec: Levels) -> list[str]:
+    return [*level_matches(spec), *combined_matches(spec)]
+
+
+def with_matches(df: DataFrame, spec: Levels) -> DataFrame:
+    """Add all match columns; each level is compared once and the combinations look at the result."""
+    return df.withColumns(level_matches(spec)).withColumns(combined_matches(spec))
+
+
 def first_miss(spec: Levels) -> Column:
     """Label of the first wrong decisive level, from the match columns; null when all are right."""
     label = F.lit(None).cast("string")

@@ -15,7 +15,8 @@ from codeloom.functions.levels import (
     Levels,
     first_miss,
     informational_miss,
-    match_columns,
+    match_names,
+    with_matches,
 )
 from codeloom.operators.matching import any_mapping, truth_profile
 
@@ -34,7 +35,7 @@ def layer_one(
     joined = pred.filter(F.col("layer") == 1).join(profile, code, "left")
     if drop_excluded:
         joined = joined.filter(~(F.col(spec.truth[0]).isNull() & F.col(spec.truth[1]).isNull()))
-    return joined.withColumns(match_columns(spec))
+    return with_matches(joined, spec)
 
 
 def evaluate(
@@ -62,8 +63,8 @@ def evaluate(
     if exclude_missing:
         no_truth = F.col(spec.truth[0]).isNull() & F.col(spec.truth[1]).isNull()
         joined = joined.filter(~(F.col("_scored") & no_truth))
-    matched = joined.withColumns(match_columns(spec))
-    names = list(match_columns(spec))
+    matched = with_matches(joined, spec)
+    names = match_names(spec)
     ambiguous = F.col("layer") == 2
     out = matched.withColumn("_miss", first_miss(spec))
     if spec.decisive < spec.depth:

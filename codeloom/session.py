@@ -53,8 +53,10 @@ def work_dir(spark: SparkSession, label: str) -> str:
 def settle(df: DataFrame) -> DataFrame:
     """Write the frame to the shared folder and read it back.
 
-    Used where several branches must see the very same rows (partition numbers, answers of
-    a non-deterministic backend) even when an executor is lost in between.
+    Used where several branches must see the very same rows (slice numbers, hot keys, answers of a
+    non-deterministic backend) even when an executor is lost in between. A columnar table rather
+    than a checkpoint: later steps read only the columns they need, and joins know its size.
     """
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = work_dir(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

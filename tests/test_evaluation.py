@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from codeloom.functions.levels import PRODUCT, TRANSACTION, VALID_LOB, first_miss, informational_miss, match_columns
+from codeloom.functions.levels import PRODUCT, TRANSACTION, VALID_LOB, first_miss, informational_miss, match_names
 from codeloom.operators import evaluation, layers, matching, versions
 from codeloom.sources import tables
 
@@ -171,7 +171,7 @@ def test_miss_labels(spark):
     df = spark.createDataFrame([(True, True, False, True, False), (True, True, True, False, True), (True,) * 5], ", ".join(f"match_L{i} boolean" for i in range(1, 6)))
     got = [tuple(r) for r in df.select(first_miss(PRODUCT), informational_miss(PRODUCT)).collect()]
     assert got == [("WRONG CATEGORY (L3)", "MISMATCH L5"), (None, "MISMATCH L4"), (None, None)]
-    assert "canonical_match" in match_columns(PRODUCT) and "canonical_match" not in match_columns(TRANSACTION)
+    assert "canonical_match" in match_names(PRODUCT) and "canonical_match" not in match_names(TRANSACTION)
 
 
 def test_costs_count_each_batch_once(spark):
