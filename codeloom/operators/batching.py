@@ -77,8 +77,8 @@ def suggestion_line() -> Column:
 
 
 def batch_requests(
-    batched: DataFrame, line: Column, items: Mapping[str, Column | str], group: str | None = None,
-    system: str = "", header: str = HEADER, footer: str = FOOTER,
+    batched: DataFrame, line: Column, items: Mapping[str, Column | str], system: str = "",
+    header: str = HEADER, footer: str = FOOTER,
 ) -> DataFrame:
     """One row per batch: its items as an array in batch order, and the rendered prompt.
 
@@ -86,8 +86,7 @@ def batch_requests(
     """
     fields = [F.col(c).alias(n) if isinstance(c, str) else c.alias(n) for n, c in items.items()]
     entry = F.struct(F.col("position"), line.alias("line"), *fields)
-    by = ["batch_id", *([group] if group else [])]
-    grouped = batched.groupBy(*by).agg(F.array_sort(F.collect_list(entry)).alias("items"))
+    grouped = batched.groupBy("batch_id").agg(F.array_sort(F.collect_list(entry)).alias("items"))
     lines = F.array_join(F.transform("items", lambda i: F.concat(F.lit("  - "), i["line"])), "\n")
     before, _, after = header.partition("{n}")
     heading = F.concat(F.lit(before), F.size("items").cast("string"), F.lit(after)) if after else F.lit(header)

@@ -18,7 +18,7 @@ from codeloom.functions.levels import (
     match_names,
     with_matches,
 )
-from codeloom.operators.matching import any_mapping, truth_profile
+from codeloom.operators.matching import truth_profile, with_agreement
 
 ACCURACY_DIGITS = 6
 
@@ -39,8 +39,8 @@ def layer_one(
 
 
 def evaluate(
-    pred: DataFrame, truth: DataFrame, spec: Levels, key: Sequence[str], code: str, extra: Sequence[str],
-    order: Sequence[str], exclude_missing: bool = False,
+    pred: DataFrame, truth: DataFrame, spec: Levels, code: str, extra: Sequence[str], order: Sequence[str],
+    exclude_missing: bool = False,
 ) -> DataFrame:
     """One row per prediction over all layers, in one frame.
 
@@ -49,11 +49,7 @@ def evaluate(
     Match columns of layers 2 and 3 stay null.
     """
     profile = truth_profile(truth, code, spec, extra, order)
-    best = any_mapping(pred.filter(F.col("layer") == 2), truth, spec, key, code)
-    flags = [c for c in ("exact_match_any", "full_match_any") if c in best.columns]
-    joined = pred.join(profile, code, "left").join(
-        best.select(*key, *flags), list(key), "left"
-    )
+    joined = with_agreement(pred, truth, spec, code, only=F.col("layer") == 2).join(profile, code, "left")
     gone = F.lit(False)
     if exclude_missing:
         gone = (F.col("layer") == 1) & F.col("n_mappings").isNull()

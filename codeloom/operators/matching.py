@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codeloom.functions.levels import Levels
@@ -51,17 +51,22 @@ def _agreement_keys(names: Sequence[str], masks: Sequence[tuple[int, ...]]) -> s
     return f"array({', '.join(entries)})"
 
 
+def stated_columns(pairs: Sequence[tuple[str, str]]) -> dict[str, Column]:
+    """Canonical predicted values as columns: each is computed once, not once per subset."""
+    return {f"_p{i}": canon(p) for i, (p, _) in enumerate(pairs)}
+
+
 def best_agreement(
-    pred: DataFrame, truth: DataFrame, key: Sequence[str], code: str, pairs: Sequence[tuple[str, str]], decisive: int,
-    lenient: bool,
+    stated: DataFrame, truth: DataFrame, code: str, pairs: Sequence[tuple[str, str]], decisive: int, lenient: bool
 ) -> DataFrame:
-    """Per prediction, the largest number of levels that agree with any one truth path of its code:
-    ``best`` over the first ``decisive`` levels and ``best_all`` over all.
-
-    Comparing each prediction with each path would emit all pairs of a code. Instead both sides list
-    the level subsets they could agree on, and an equality join on (code, subset, values) finds the
-    agreements: the work is a fixed factor (2 to the number of levels) of each side, and a code with
-    very many rows is spread over its values. With ``lenient``, an empty truth level always agrees.
+    """Per code and stated path, the largest number of levels that agree with any one truth path of the
+    code: ``best`` over the first ``decisive`` levels and ``best_all`` over all. ``stated`` holds the
+    predictions with ``stated_columns``.
+
+    Comparing each prediction with each path would emit all pairs of a code. Instead both sides are
+    reduced to their distinct paths and list the level subsets they could agree on, and an equality
+    join on (code, subset, values) finds the agreements: the work is a fixed factor (2 to the number of
+    levels) of the distinct paths of each side. With ``lenient``, an empty truth level always agrees.
     """
     positions = range(len(pairs))
     masks = [m for size in range(len(pairs) + 1) for m in combinations(positions, size)]
@@ -78,29 +83,33 @@ def best_agreement(
     hits, hits_decisive = F.expr("bit_count(a.bits)"), F.expr(f"bit_count(a.bits & {(1 << decisive) - 1})")
     offered = offered.select(code, "a.*", (hits_decisive + F.col("fd")).alias("best"), (hits + F.col("f")).alias("best_all"))
     offered = offered.groupBy(code, *keys).agg(F.max("best").alias("best"), F.max("best_all").alias("best_all"))
-    own = list(dict.fromkeys([*key, code]))
-    # Canonical values become columns before they are laid out, or each would be computed once per subset.
-    stated = pred.select(*own, *[canon(p).alias(f"p{i}") for i, (p, _) in enumerate(pairs)])
-    asked = stated.select(*own, F.explode(F.expr(_agreement_keys([f"p{i}" for i in positions], masks))).alias("a"))
-    asked = asked.select(*own, *[F.col(f"a.{k}").alias(k) for k in keys])
-    return asked.join(offered, [code, *keys]).groupBy(*key).agg(
+    path = [f"_p{i}" for i in positions]
+    asked = stated.select(code, *path).distinct()
+    asked = asked.select(code, *path, F.explode(F.expr(_agreement_keys(path, masks))).alias("a"))
+    asked = asked.select(code, *path, *[F.col(f"a.{k}").alias(k) for k in keys])
+    return asked.join(offered, [code, *keys]).groupBy(code, *path).agg(
         F.max("best").alias("best"), F.max("best_all").alias("best_all")
     )
 
 
-def any_mapping(
-    pred: DataFrame, truth: DataFrame, spec: Levels, key: Sequence[str], code: str, lenient: bool | None = None
+def with_agreement(
+    pred: DataFrame, truth: DataFrame, spec: Levels, code: str, lenient: bool | None = None, only: Column | None = None
 ) -> DataFrame:
-    """Best agreement and any-match flags per prediction; a code without truth left gets zero and false."""
+    """Predictions with the best agreement and the any-match flags; a code without truth left gets zero
+    and false. With ``only``, other rows are not looked at and their flags mean nothing."""
     lenient = spec.lenient_any if lenient is None else lenient
-    best = best_agreement(pred, truth, key, code, list(zip(spec.pred, spec.truth)), spec.decisive, lenient)
+    pairs = list(zip(spec.pred, spec.truth))
+    columns = stated_columns(pairs)
+    stated = pred.withColumns(columns)
+    looked_at = stated if only is None else stated.filter(only)
+    best = best_agreement(looked_at, truth, code, pairs, spec.decisive, lenient)
     flags = {
         "best_levels_matched": F.coalesce("best", F.lit(0)),
         "exact_match_any": F.coalesce(F.col("best") == spec.decisive, F.lit(False)),
     }
     if spec.decisive < spec.depth:
         flags["full_match_any"] = F.coalesce(F.col("best_all") == spec.depth, F.lit(False))
-    return pred.join(best, list(key), "left").withColumns(flags).drop("best", "best_all")
+    return stated.join(best, [code, *columns], "left").withColumns(flags).drop("best", "best_all", *columns)
 
 
 def valid_mappings(pred: DataFrame, truth: DataFrame, code: str, shown: Sequence[str]) -> DataFrame:

@@ -58,7 +58,6 @@ def map_columns(profiles: DataFrame, canonical: Mapping[str, tuple[str, tuple[st
 
     The frame has one row per client column, so ranking all candidates is small work.
     """
-    scored = None
     candidates = F.array(
         *[
             F.struct(

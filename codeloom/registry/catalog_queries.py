@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from codeloom.functions import parse, text
 from codeloom.functions.levels import TRANSACTION, layer_name
-from codeloom.operators import frequency, hierarchy, layers, normalize, ordering, profile
+from codeloom.operators import frequency, layers, normalize, ordering, profile
 from codeloom.plans import account_history as history_plan
 from codeloom.plans import catalogs, ground_truth
 from codeloom.plans.uncategorized import uncategorized_catalog

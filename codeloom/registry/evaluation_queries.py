@@ -16,7 +16,6 @@ from codeloom.registry.views import canon_sql, lenient_sql, strict_sql, with_vie
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
 QUERIES: dict[str, Query] = {}
-KEY = ["prompt_version", "transaction_code", "source_file"]
 ORDER = ["p_partkey"]
 FLAGS = [*[f"match_L{i}" for i in range(1, 5)], "partial_match_L1L2", "partial_match_L1L2L3", "exact_match"]
 
@@ -74,7 +73,7 @@ def layer_one(spark: SparkSession, sf: str) -> DataFrame:
 
 def evaluated(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.evaluate(
-        settle(v.predictions(spark, sf)), v.truth(spark, sf), TRANSACTION, KEY, "transaction_code", ["gt_desc"], ORDER
+        settle(v.predictions(spark, sf)), v.truth(spark, sf), TRANSACTION, "transaction_code", ["gt_desc"], ORDER
     )
 
 
@@ -97,7 +96,7 @@ FROM l2 LEFT JOIN gt_counts USING (transaction_code)"""))
 def q_eval_l2_strict(spark: SparkSession, sf: str) -> DataFrame:
     pred = settle(v.predictions(spark, sf).filter(F.col("layer") == 2))
     truth = v.truth(spark, sf)
-    best = matching.any_mapping(pred, truth, TRANSACTION, KEY, "transaction_code")
+    best = matching.with_agreement(pred, truth, TRANSACTION, "transaction_code")
     counts = truth.groupBy("transaction_code").agg(F.count_distinct(F.struct(*TRANSACTION.truth)).alias("n_valid_mappings"))
     return best.join(counts, "transaction_code", "left").select(
         "prompt_version", "transaction_code", "volume", path_label(*TRANSACTION.pred[:3]).alias("llm_path"),
@@ -117,7 +116,7 @@ FROM ppred LEFT JOIN pgt USING (product_code) WHERE layer = 2 GROUP BY 1"""))
 def q_eval_l2_lenient(spark: SparkSession, sf: str) -> DataFrame:
     pred = settle(v.product_predictions(spark, sf).filter(F.col("layer") == 2))
     truth = matching.supported_lob(v.product_truth_rows(spark, sf), "gt_L1_line_of_business", VALID_LOB)
-    best = matching.any_mapping(pred, truth, PRODUCT, ["product_code", "source_file"], "product_code")
+    best = matching.with_agreement(pred, truth, PRODUCT, "product_code")
     return best.select(
         "product_code", "account_count", F.col("exact_match_any").alias("canonical_match_any"), "full_match_any",
         F.col("best_levels_matched").alias("best_canonical_matched"),
@@ -145,8 +144,7 @@ UNION ALL SELECT product_code, layer, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
 def evaluated_products(spark: SparkSession, sf: str) -> DataFrame:
     truth = matching.supported_lob(v.product_truth_rows(spark, sf), "gt_L1_line_of_business", VALID_LOB)
     return evaluation.evaluate(
-        settle(v.product_predictions(spark, sf)), truth, PRODUCT, ["product_code", "source_file"], "product_code", ["truth_name"],
-        ORDER, exclude_missing=True,
+        settle(v.product_predictions(spark, sf)), truth, PRODUCT, "product_code", ["truth_name"], ORDER, exclude_missing=True,
     )
 
 

@@ -64,8 +64,7 @@ def test_transactions(spark, tmp_path):
         tables.save_results(results, path)
     stored = tables.load(spark, path).withColumn("layer", F.col("layer").cast("int"))
     latest = versions.of_version(stored, "v2")
-    key = ["prompt_version", "transaction_code", "source_file"]
-    table = evaluation.evaluate(latest, truth, TRANSACTION, key, "transaction_code", ["gt_desc"], ["gt_desc"])
+    table = evaluation.evaluate(latest, truth, TRANSACTION, "transaction_code", ["gt_desc"], ["gt_desc"])
     saved = conform(table, schemas.EVALUATION_RESULTS)
     assert rows(saved, "transaction_code", "layer", "exact_match", "failure_type", "review_status") == [
         ("0300", 1, False, "WRONG BLOCK (L1)", "EVALUATED"), ("183", 1, True, None, "EVALUATED"), ("200", 2, False, "AMBIGUOUS_NO_MATCH", "EVALUATED"),
@@ -117,7 +116,7 @@ def test_products_and_suggestions(spark, tmp_path):
     results = classification.classify_products(full, "p1", now())
     valid = matching.supported_lob(truth, PRODUCT.truth[0], VALID_LOB)
     table = evaluation.evaluate(
-        results.drop("product_name"), valid, PRODUCT, ["product_code", "source_file"], "product_code", ["product_name"], ["product_name"],
+        results.drop("product_name"), valid, PRODUCT, "product_code", ["product_name"], ["product_name"],
         exclude_missing=True,
     )
     assert [f.name for f in conform(table, schemas.PRODUCT_EVALUATION_RESULTS).schema] == schemas.PRODUCT_EVALUATION_RESULTS.names

@@ -47,7 +47,7 @@ def test_any_mapping_equals_brute_force(spark, spec):
         if spec.decisive < spec.depth:
             row.append(any(all(h) for h in hits))
         want.append(tuple(row))
-    got = matching.any_mapping(p, t, spec, ["id"], "code")
+    got = matching.with_agreement(p, t, spec, "code")
     flags = ["best_levels_matched", "exact_match_any"] + (["full_match_any"] if spec.decisive < spec.depth else [])
     assert rows(got, "id", *flags) == sorted(want, key=repr)
 
@@ -99,7 +99,7 @@ def test_layers_count_paths_that_hold_nulls(spark, small):
 
 def test_evaluation_table(small):
     pred, truth = small
-    table = evaluation.evaluate(pred, truth, TRANSACTION, ["prompt_version", "transaction_code", "source_file"], "transaction_code", ["gt_desc"], ["o"])
+    table = evaluation.evaluate(pred, truth, TRANSACTION, "transaction_code", ["gt_desc"], ["o"])
     got = rows(table, "transaction_code", "match_L1", "exact_match", "failure_type", "review_status")
     assert got == sorted([
         ("1", True, True, None, "EVALUATED"), ("3", False, False, "WRONG BLOCK (L1)", "EVALUATED"),
@@ -135,7 +135,7 @@ def test_metrics(spark, small):
 
 def test_failures_and_kpi(small):
     pred, truth = small
-    table = evaluation.evaluate(pred, truth, TRANSACTION, ["prompt_version", "transaction_code", "source_file"], "transaction_code", ["gt_desc"], ["o"])
+    table = evaluation.evaluate(pred, truth, TRANSACTION, "transaction_code", ["gt_desc"], ["o"])
     assert rows(evaluation.failure_distribution(table, "transaction_code", "volume")) == [
         ("AMBIGUOUS_NO_MATCH", 1, 2, "7"), ("WRONG BLOCK (L1)", 1, 20, "3"), ("WRONG CHANNEL (L3)", 1, 50, "4"),
     ]
@@ -159,7 +159,7 @@ def test_product_rules(spark):
     ], p)
     valid = matching.supported_lob(truth, PRODUCT.truth[0], VALID_LOB)
     assert matching.unsupported_lob(truth, PRODUCT.truth[0], VALID_LOB).count() == 1
-    table = evaluation.evaluate(pred, valid, PRODUCT, ["product_code", "source_file"], "product_code", ["product_name"], ["o"], exclude_missing=True)
+    table = evaluation.evaluate(pred, valid, PRODUCT, "product_code", ["product_name"], ["o"], exclude_missing=True)
     got = rows(table, "product_code", "canonical_match", "full_match", "exact_match", "failure_type", "review_status")
     assert got == [
         ("A", True, False, True, "MISMATCH L4+L5", "EVALUATED"), ("B", True, True, True, None, "EVALUATED"),
