@@ -61,25 +61,26 @@ def code_points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return codes, firsts[offsets]
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 7) -> np.ndarray:
-    """A 64-bit hash of values[start:end] for every span; equal spans hash alike wherever they stand. ``values`` are below 2**32.
+class SpanHasher:
+    """64-bit hashes of spans of ``values`` (below 2**32); equal spans hash alike wherever they stand.
 
-    Prefix sums of mixed values times the powers of an odd number; the power at the start is divided out again.
+    Prefix sums of mixed values times the powers of an odd number; the power at a span's start is divided out again.
     """
-    base = random_numbers(1, seed)[0] | np.uint64(1)
-    inverse = np.uint64(pow(int(base), -1, 1 << 64))
-    n = len(values)
-    powers = np.full(n + 1, base, np.uint64)
-    powers[0] = 1
-    np.cumprod(powers, out=powers)
-    sums = np.zeros(n + 1, np.uint64)
-    salted = mix(values.astype(np.uint64) + random_numbers(1, seed + 1)[0])
-    np.cumsum(salted * powers[:n], out=sums[1:])
-    back = np.full(n + 1, inverse, np.uint64)
-    back[0] = 1
-    np.cumprod(back, out=back)
-    hashed = (sums[ends] - sums[starts]) * back[starts]
-    return mix(hashed + (ends - starts).astype(np.uint64) * _C2)
+
+    def __init__(self, values: np.ndarray, seed: int = 7):
+        base = random_numbers(1, seed)[0] | np.uint64(1)
+        n = len(values)
+        powers, back = np.full(n + 1, base, np.uint64), np.full(n + 1, pow(int(base), -1, 1 << 64), np.uint64)
+        powers[0] = back[0] = 1
+        np.cumprod(powers, out=powers)
+        self.back = np.cumprod(back, out=back)
+        self.sums = np.zeros(n + 1, np.uint64)
+        salted = mix(values.astype(np.uint64) + random_numbers(1, seed + 1)[0])
+        np.cumsum(salted * powers[:n], out=self.sums[1:])
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        hashed = (self.sums[ends] - self.sums[starts]) * self.back[starts]
+        return mix(hashed + (ends - starts).astype(np.uint64) * _C2)
 
 
 _SPACES = np.zeros(256, bool)
@@ -105,4 +106,4 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     closes[inner - 1] = True
     starts = np.flatnonzero(opens & ~space)
     ends = np.flatnonzero(closes & ~space) + 1
-    return span_hashes(_LOWER[data], starts, ends), np.searchsorted(starts, offsets)
+    return SpanHasher(_LOWER[data]).hashes(starts, ends), np.searchsorted(starts, offsets)
