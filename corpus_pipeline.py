@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codeloom.llm import minhash
+from codeloom.llm import decontaminate, exact, minhash, packing, toxicity
 from codeloom.llm.tables import Store, read_table
 
 STAGES = [
+    ("toxicity", toxicity.stage),
+    ("exact_dedup", exact.stage),
     ("near_dedup", minhash.stage),
+    ("decontamination", decontaminate.stage),
+    ("packing", packing.stage),
 ]
 
-# Trained scores, packing and connected components have no SQL form.
+# Trained scores and packing have no SQL form.
 ORACLE_SQL = None
 
 
