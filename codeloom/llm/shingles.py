@@ -21,7 +21,7 @@ def shingle_sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(len(firsts), np.int64)
     summed = np.zeros(total, np.uint64)
     for j in range(words):
-        summed[:total - j] += hashed[j:] * factors[j]
+        summed[:max(0, total - j)] += hashed[j:] * factors[j]
     place = np.arange(total) - np.repeat(firsts[:-1], counts)
     whole = place <= np.repeat(counts, counts) - words
     short = np.flatnonzero((counts > 0) & (counts < words))
