@@ -56,10 +56,11 @@ def surrogate_id(code: Column | str) -> Column:
     return F.substring(F.sha2(code_key(code), 256), 1, 32)
 
 
-def sanitize_description(value: Column | str, limit: int = MAX_DESCRIPTION) -> Column:
-    """Drop control characters, double backslashes, cut last."""
+def sanitize_description(value: Column | str, limit: int | None = None) -> Column:
+    """Drop control characters, double backslashes; with a ``limit``, cut last."""
     clean = F.regexp_replace(as_col(value), r"[\x00-\x1f\x7f-\x9f]", "")
-    return F.substring(F.replace(clean, F.lit("\\"), F.lit("\\\\")), 1, limit)
+    doubled = F.replace(clean, F.lit("\\"), F.lit("\\\\"))
+    return doubled if limit is None else F.substring(doubled, 1, limit)
 
 
 def sanitize_name(value: Column | str) -> Column:

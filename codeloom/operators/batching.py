@@ -29,16 +29,16 @@ def batch_size(group: str, sizes: int | Mapping[str, int], default: int = SUGGES
 
 
 def assign_batches(
-    catalog: DataFrame, group: str | None, order: Sequence[str], sizes: int | Mapping[str, int]
+    catalog: DataFrame, group: str | Sequence[str] | None, order: Sequence[str], sizes: int | Mapping[str, int]
 ) -> DataFrame:
-    """Number the codes of each group in ``order`` and cut them into batches.
+    """Number the codes of each group in ``order`` and cut them into batches. Sizes by name go by the first group column.
 
     The batch depends on the data alone, so a retried task rebuilds the same batches, and the
     numbering never sorts a whole group (there are only a few, each large) in one task.
     """
-    by = [group] if group else []
+    by = [group] if isinstance(group, str) else list(group or ())
     numbered = running_total(catalog, by, order, out="_at")
-    size = batch_size(group or "", sizes)
+    size = batch_size(by[0] if by else "", sizes)
     label = F.floor((F.col("_at") - 1) / size).cast("bigint")
     name = F.concat_ws("-", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by], label.cast("string"))
     position = (F.col("_at") - 1 - label * size).cast("int")
@@ -68,10 +68,11 @@ def product_line() -> Column:
     ])
 
 
-def suggestion_line() -> Column:
+def suggestion_line(limit: int | None = None) -> Column:
+    """``limit`` cuts the joined samples, as a model with a small window may need; by default a prompt shows all evidence."""
     return code_line([
         ("product_code", F.col("product_code"), False),
-        ("SAMPLES", describe_or_placeholder(sanitize_description(F.trim("description_samples"))), True),
+        ("SAMPLES", describe_or_placeholder(sanitize_description(F.trim("description_samples"), limit)), True),
         ("VOLUME", F.col("volume"), False),
     ])
 

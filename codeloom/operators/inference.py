@@ -31,9 +31,11 @@ for _module in (sys.modules[__name__], rules):
 
 Backend = Callable[[str, list[dict]], str]
 
-# Attempts per batch, length of a stored message, marker of a failed row.
+# Attempts per batch, length of a stored message where one is asked for, marker of a failed row.
 ATTEMPTS = 3
 MESSAGE_LENGTH = 200
+# Tasks that ask a backend at the same time. A given number is kept by adaptive execution, so the waits of a slow backend overlap.
+SPREAD = 64
 ERROR = "ERROR"
 OMITTED = "LLM omitted this code from response"
 
@@ -45,11 +47,11 @@ def wait_seconds(attempt: int) -> float:
 
 def ask(
     requests: DataFrame, backend: Backend, attempts: int = ATTEMPTS, wait: Callable[[int], float] = wait_seconds,
-    keep: bool = True,
+    keep: bool = True, spread: int = SPREAD,
 ) -> DataFrame:
     """Send every batch to the backend, each with its own retries.
 
-    Batches are spread evenly first. With ``keep`` the answers are written to the shared folder once,
+    Batches are dealt to ``spread`` tasks first, and every answer is handed on by itself. With ``keep`` the answers are written to the shared folder once,
     so a later branch or a lost executor does not ask (and pay) again.
     """
     schema = T.StructType(
@@ -59,17 +61,13 @@ def ask(
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            answers: list[tuple[str | None, int, str | None]] = []
-            for prompt, items in zip(frame["prompt"], frame["items"]):
-                answers.append(_one_batch(backend, prompt, [i.asDict() if hasattr(i, "asDict") else dict(i) for i in items], attempts, wait))
-            out = frame.copy()
-            out["raw_response"] = [a[0] for a in answers]
-            out["attempts"] = [a[1] for a in answers]
-            out["error"] = [a[2] for a in answers]
-            yield out
-
-    spread = requests.repartition(F.col("batch_id"))
-    answered = spread.mapInPandas(run, schema)
+            for at in range(len(frame)):
+                out = frame.iloc[at:at + 1].copy()
+                items = [i.asDict() if hasattr(i, "asDict") else dict(i) for i in out["items"].iloc[0]]
+                text, tries, error = _one_batch(backend, out["prompt"].iloc[0], items, attempts, wait)
+                yield out.assign(raw_response=[text], attempts=[tries], error=[error])
+
+    answered = requests.repartition(spread, F.col("batch_id")).mapInPandas(run, schema)
     return settle(answered) if keep else answered
 
 
@@ -121,15 +119,24 @@ def with_costs(
     }).withColumn("estimated_cost", estimate_cost(F.col("tokens_in"), F.col("tokens_out"), F.col("model_name"), dict(prices)))
 
 
+def _occurrences(entries: Column, key: Callable[[Column], Column]) -> Column:
+    """The key of every entry and which of its equals it is, from 0. A null key equals other null keys."""
+    keys = F.transform(entries, key)
+    return F.transform(
+        keys, lambda k, i: F.struct(k.alias("key"), F.size(F.filter(F.slice(keys, F.lit(1), i), lambda e: e.eqNullSafe(k))).alias("nth"))
+    )
+
+
 def read_answers(
-    answered: DataFrame, response_schema: str, code: str, meta: Mapping[str, Column], report_omitted: bool = True
+    answered: DataFrame, response_schema: str, code: str, meta: Mapping[str, Column], report_omitted: bool = True,
+    message_length: int | None = None,
 ) -> DataFrame:
-    """One row per classified code, plus one per code the backend left out.
+    """One row per item sent, and one per answer that no item asked for.
 
-    Returned codes are matched to the items of the same batch by normalized code; an unknown code is
-    kept with default ``meta`` values and ``was_requested`` false. An answer that cannot be read fails
-    the whole batch: ``from_json`` gives a struct of nulls then, so the inner array is tested.
-    ``outcome`` is ok, omitted or failed.
+    The n-th answer with a code belongs to the n-th item of that code in the batch, by normalized code: every item gets one answer or
+    is reported as omitted. An answer with an unknown or null code, or one more than there are items, is kept with default ``meta``
+    values and ``was_requested`` false. An answer that cannot be read fails the whole batch: ``from_json`` gives a struct of nulls
+    then, so the inner array is tested. ``outcome`` is ok, omitted or failed; ``message_length`` cuts long messages.
     """
     parsed = answered.withColumn("_answers", F.from_json("raw_response", response_schema)["classifications"])
     unreadable = F.col("_answers").isNull()
@@ -140,38 +147,47 @@ def read_answers(
 
     answer_type = next(f for f in parsed.schema.fields if f.name == "_answers").dataType.elementType
     nothing = F.lit(None).cast(answer_type)
-
-    def returned(answer: Column) -> Column:
-        same = F.filter("items", lambda i: code_key(i["code"]) == code_key(answer[code]))
-        item = F.get(same, F.lit(0))
+    parsed = parsed.withColumns({
+        "_asked": F.arrays_zip(F.col("items").alias("item"), _occurrences(F.col("items"), lambda i: code_key(i["code"])).alias("id")),
+        "_given": F.arrays_zip(
+            F.coalesce("_answers", F.array().cast(f"array<{answer_type.simpleString()}>")).alias("answer"),
+            _occurrences(F.coalesce("_answers", F.array().cast(f"array<{answer_type.simpleString()}>")), lambda a: code_key(a[code])).alias("id"),
+        ),
+    })
+
+    def returned(given: Column) -> Column:
+        same = F.filter("_asked", lambda a: (a["id"]["key"] == given["id"]["key"]) & (a["id"]["nth"] == given["id"]["nth"]))
+        item = F.get(same, F.lit(0))["item"]
         return F.struct(
-            answer.alias("answer"),
+            given["answer"].alias("answer"),
             *item_struct(item),
-            F.coalesce(answer[code], F.lit("")).alias("code"),
+            F.coalesce(given["answer"][code], F.lit("")).alias("code"),
             item.isNotNull().alias("was_requested"),
             F.lit("ok").alias("outcome"),
         )
 
     def missing(outcome: str) -> Callable[[Column], Column]:
-        return lambda item: F.struct(
+        return lambda asked: F.struct(
             nothing.alias("answer"),
-            *item_struct(item),
-            item["code"].alias("code"),
+            *item_struct(asked["item"]),
+            asked["item"]["code"].alias("code"),
             F.lit(True).alias("was_requested"),
             F.lit(outcome).alias("outcome"),
         )
 
-    answered_codes = F.transform("_answers", lambda a: code_key(a[code]))
-    omitted = F.filter("items", lambda i: ~F.array_contains(answered_codes, code_key(i["code"])))
-    good = F.transform("_answers", returned)
+    unanswered = F.filter("_asked", lambda a: ~F.coalesce(
+        F.exists("_given", lambda g: (g["id"]["key"] == a["id"]["key"]) & (g["id"]["nth"] == a["id"]["nth"])), F.lit(False)
+    ))
+    good = F.transform("_given", returned)
     if report_omitted:
-        good = F.concat(good, F.transform(omitted, missing("omitted")))
-    rows = F.when(unreadable, F.transform("items", missing("failed"))).otherwise(good)
-    carried = [c for c in parsed.columns if c not in ("items", "_answers", "error")]
+        good = F.concat(good, F.transform(unanswered, missing("omitted")))
+    rows = F.when(unreadable, F.transform("_asked", missing("failed"))).otherwise(good)
+    carried = [c for c in parsed.columns if c not in ("items", "_answers", "_asked", "_given", "error")]
     told = F.when(F.col("outcome") == "failed", F.col("_message")).when(F.col("outcome") == "omitted", F.lit(OMITTED))
     opened = parsed.withColumn("_message", message).select(*carried, "_message", F.inline(rows))
     defaulted = {name: F.coalesce(F.col(name), default) for name, default in meta.items()}
-    return opened.withColumns(defaulted).withColumn("message", F.substring(told, 1, MESSAGE_LENGTH)).drop("_message")
+    shown = told if message_length is None else F.substring(told, 1, message_length)
+    return opened.withColumns(defaulted).withColumn("message", shown).drop("_message")
 
 
 def transaction_results(answers: DataFrame, prompt_version: str, run_timestamp: Column) -> DataFrame:

@@ -62,10 +62,10 @@ def top_k(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:
 def describe_numeric(df: DataFrame, column: str) -> DataFrame:
     """count, mean, std, min, quartiles and max as one row, with exact interpolated quartiles.
 
-    Values are first reduced to (value, occurrences); a distributed running total then locates the
+    Nulls and NaN are no values. Values are first reduced to (value, occurrences); a distributed running total then locates the
     ranks around each quartile, so no task holds all distinct values.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     tally = values.groupBy("v").agg(F.count("*").alias("n"))
     placed = running_total(tally, [], ["v"], F.col("n"), "upto").withColumn("start", F.col("upto") - F.col("n"))
     # One scalar subquery gives size and mean to every row.

@@ -23,10 +23,11 @@ CANONICAL = {
 }
 
 
-def profile_columns(df: DataFrame, order: str, rows: int = PROFILE_ROWS, samples: int = PROFILE_SAMPLES) -> DataFrame:
-    """Type label and first samples of every column, from the first rows of the extract."""
+def profile_columns(df: DataFrame, order: str, rows: int | None = None, samples: int = PROFILE_SAMPLES) -> DataFrame:
+    """Type label and first samples of every column. The label judges all filled cells; with ``rows``, the extract is judged by its
+    first rows alone (PROFILE_ROWS is what a quick look takes), and the label by the samples shown."""
     names = [c for c in df.columns if c != order]
-    head = df.orderBy(order).limit(rows)
+    head = df if rows is None else df.orderBy(order).limit(rows)
     cells = head.select(
         F.col(order).alias("_rn"),
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in names])),
@@ -34,12 +35,19 @@ def profile_columns(df: DataFrame, order: str, rows: int = PROFILE_ROWS, samples
     filled = F.col("value").isNotNull() & (F.col("value") != "")
     window = Window.partitionBy("column").orderBy((~filled).cast("int"), "_rn")
     first = cells.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= samples)
+    shown = F.transform(F.array_sort(F.collect_list(F.when(filled, F.struct("_n", "value")))), lambda s: s["value"])
+    kinds = (cells if rows is None else first).groupBy("column").agg(_kind(filled).alias("kind"))
+    return kinds.join(first.groupBy("column").agg(F.array_join(shown, " | ").alias("samples")), "column")
+
+
+def _kind(filled: Column) -> Column:
+    """Type label of the filled cells of a column."""
     bare = F.regexp_replace(F.col("value"), "[.-]", "")
     numeric = F.bool_and(F.when(filled, bare.rlike("^[0-9]+$")))
     dotted = F.bool_or(F.when(filled, F.contains(F.col("value"), F.lit("."))))
     short = F.bool_and(F.when(filled, F.length("value") <= 3))
     dated = F.bool_or(F.when(filled, F.contains(F.col("value"), F.lit("-")) & (F.length("value") == 10)))
-    label = (
+    return (
         F.when(F.count_if(filled) == 0, F.lit(EMPTY))
         .when(dated, F.lit(DATES))
         .when(numeric & dotted, F.lit(DECIMALS))
@@ -47,10 +55,6 @@ def profile_columns(df: DataFrame, order: str, rows: int = PROFILE_ROWS, samples
         .when(numeric, F.lit(INTEGERS))
         .otherwise(F.lit(TEXT))
     )
-    shown = F.transform(
-        F.array_sort(F.collect_list(F.when(filled, F.struct("_n", "value")))), lambda s: s["value"]
-    )
-    return first.groupBy("column").agg(label.alias("kind"), F.array_join(shown, " | ").alias("samples"))
 
 
 def map_columns(profiles: DataFrame, canonical: Mapping[str, tuple[str, tuple[str, ...]]] = CANONICAL) -> DataFrame:

@@ -13,6 +13,7 @@ from codeloom.functions.text import UNKNOWN, nullify, strip
 from codeloom.operators.normalize import DEPOSIT_STATES, LOAN_STATES, conform, lookup_text, map_states
 from codeloom.operators.ordering import cap_per_key, first_per_key
 
+# What the seed keeps of a code where a sample is asked for.
 ROWS_PER_CODE = 50
 
 
@@ -57,8 +58,8 @@ def loan_history(extract: DataFrame, types: DataFrame, order: Sequence[Column |
     return conform(shaped, schemas.ACCOUNT_HISTORY)
 
 
-def account_history(deposits: DataFrame, loans: DataFrame, rows_per_code: int | None = ROWS_PER_CODE) -> DataFrame:
-    """Both feeds, optionally capped per product code (the sampling step of the seed)."""
+def account_history(deposits: DataFrame, loans: DataFrame, rows_per_code: int | None = None) -> DataFrame:
+    """Both feeds; with ``rows_per_code``, a sample of so many rows of each product code (the sampling step of the seed)."""
     stacked = deposits.unionByName(loans)
     if rows_per_code is None:
         return stacked

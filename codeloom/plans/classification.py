@@ -34,7 +34,7 @@ def classify_transactions(
 ) -> DataFrame:
     """Classify a catalog (transaction_code, description_samples, volume, source_file, layer).
 
-    Batches hold codes of one layer. Without a backend the rule table answers inside the JVM: the
+    A code may come from several source files and is a row in each, so batches hold codes of one layer and source file. Without a backend the rule table answers inside the JVM: the
     placement of every code is computed once per catalog row, before batching.
     """
     meta = {
@@ -48,7 +48,7 @@ def classify_transactions(
     if backend is None:
         catalog = _with_transaction_answer(catalog)
         items["_answer"] = "_answer"
-    batched = batching.assign_batches(catalog, "layer", ["transaction_code", "source_file"], size)
+    batched = batching.assign_batches(catalog, ["layer", "source_file"], ["transaction_code"], size)
     requests = batching.batch_requests(batched, batching.transaction_line(), items, system=system)
     answered = (
         inference.answer_with(requests, lambda i: i["_answer"]) if backend is None

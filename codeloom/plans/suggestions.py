@@ -26,9 +26,12 @@ def review_status(lob: Column) -> Column:
 def suggest(
     catalog: DataFrame, prompt_version: str, run_timestamp: Column, backend: Backend | None = None,
     model: str = "rules", system: str = "", size: int = batching.SUGGESTION_BATCH,
-    wait: Callable[[int], float] = inference.wait_seconds,
+    wait: Callable[[int], float] = inference.wait_seconds, sample_limit: int | None = None,
 ) -> DataFrame:
-    """Suggestion table for an uncategorized catalog (product_code, volume, prod_status, description_samples)."""
+    """Suggestion table for an uncategorized catalog (product_code, volume, prod_status, description_samples).
+
+    ``sample_limit`` cuts the samples in the prompt (MAX_DESCRIPTION is the usual length); rules always see all of them.
+    """
     meta = {
         "description_samples": F.lit(""), "volume": F.lit(0).cast("bigint"), "prod_status": F.lit("ACTIVE"),
     }
@@ -42,7 +45,7 @@ def suggest(
         ).drop("_placed")
         items["_answer"] = "_answer"
     batched = batching.assign_batches(catalog, None, ["product_code"], size)
-    requests = batching.batch_requests(batched, batching.suggestion_line(), items, system=system)
+    requests = batching.batch_requests(batched, batching.suggestion_line(sample_limit), items, system=system)
     answered = (
         inference.answer_with(requests, lambda i: i["_answer"]) if backend is None
         else inference.ask(requests, backend, wait=wait)
@@ -87,11 +90,15 @@ def suggestion_rows(answers: DataFrame, prompt_version: str, run_timestamp: Colu
 def merge_approved(master: DataFrame, suggestions: DataFrame) -> DataFrame:
     """Approved suggestions flow into the master: matching codes are updated, new ones added.
 
-    The result is written as a new table, so it is one full outer join on the normalized code.
+    The result is written as a new table, so it is one full outer join on the normalized code. Of several approved rows of a
+    code, the one changed last counts.
     """
     fields = [f.name for f in schemas.PRODUCT_MASTER.fields]
-    new = suggestions.filter(F.col("review_status") == "APPROVED").select(
-        code_key("PROD_core_system_mapping").alias("_key"), *[F.col(f).alias(f"n_{f}") for f in fields]
+    key = code_key("PROD_core_system_mapping")
+    last = F.struct("PROD_modified_date", "confidence", *[f for f in fields if f != "PROD_modified_date"])
+    new = (
+        suggestions.filter(F.col("review_status") == "APPROVED").groupBy(key.alias("_key"))
+        .agg(F.max_by(F.struct(*fields), last).alias("_new")).select("_key", *[F.col(f"_new.{f}").alias(f"n_{f}") for f in fields])
     )
     old = master.withColumn("_key", code_key("PROD_core_system_mapping"))
     joined = old.join(new, "_key", "full_outer")

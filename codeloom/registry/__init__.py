@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def all_queries() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
-    from codeloom.registry import catalog_queries, classification_queries, evaluation_queries, stream_queries
+    from codeloom.registry import catalog_queries, classification_queries, evaluation_queries, file_queries, stream_queries
 
     merged = {}
-    for module in (catalog_queries, evaluation_queries, classification_queries, stream_queries):
+    for module in (catalog_queries, evaluation_queries, classification_queries, file_queries, stream_queries):
         merged.update(module.QUERIES)
     return merged

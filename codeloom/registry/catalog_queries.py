@@ -501,16 +501,16 @@ def q_account_history_capped(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("q_text_cleaning", """
-SELECT doc_id, length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS squeezed,
-       substr(replace(regexp_replace(text, '[\\x00-\\x1f\\x7f]', '', 'g'), '\\', '\\\\'), 1, 200) AS sanitized,
+SELECT doc_id, sha256(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS squeezed,
+       sha256(replace(regexp_replace(text, '[\\x00-\\x1f\\x7f]', '', 'g'), '\\', '\\\\')) AS sanitized,
        regexp_replace(source || ' ' || lang, '[^a-zA-Z0-9_.-]', '_', 'g') AS safe_name,
        substr(sha256(upper(trim(source))), 1, 32) AS id, length(text) // 4 AS tokens
 FROM documents""")
 def q_text_cleaning(spark: SparkSession, sf: str) -> DataFrame:
     docs = v.table(spark, sf, "documents")
     return docs.select(
-        "doc_id", F.length(text.squeeze("text")).cast("bigint").alias("squeezed"),
-        text.sanitize_description("text").alias("sanitized"),
+        "doc_id", F.sha2(text.squeeze("text"), 256).alias("squeezed"),
+        F.sha2(text.sanitize_description("text"), 256).alias("sanitized"),
         text.sanitize_name(F.concat_ws(" ", "source", "lang")).alias("safe_name"),
         text.surrogate_id("source").alias("id"), text.estimate_tokens("text").alias("tokens"),
     )
@@ -533,18 +533,14 @@ def q_parse_values(spark: SparkSession, sf: str) -> DataFrame:
 
 
 PROFILE_SQL = """
-WITH h AS (SELECT event_id, CAST(ts AS VARCHAR) AS ts, CAST(user_id AS VARCHAR) AS "TRANCD", event_type AS "EFHDS1", CAST(value AS VARCHAR) AS "AMT",
-                  strftime(ts, '%Y-%m-%d') AS "TRDATE", '' AS description FROM events ORDER BY event_id LIMIT 20),
-     u AS (SELECT event_id, col AS "column", value FROM (UNPIVOT (SELECT event_id, "TRANCD", "EFHDS1", "AMT", "TRDATE", description FROM h) ON "TRANCD", "EFHDS1", "AMT", "TRDATE", description INTO NAME col VALUE value)),
-     s AS (SELECT "column", list(value ORDER BY event_id) FILTER (value <> '') [1:5] AS l FROM u GROUP BY 1)
-SELECT "column", CASE WHEN l IS NULL OR len(l) = 0 THEN 'empty'
-                      WHEN len(list_filter(l, lambda x: contains(x, '-') AND length(x) = 10)) > 0 THEN 'dates (YYYY-MM-DD)'
-                      WHEN len(list_filter(l, lambda x: NOT regexp_full_match(replace(replace(x, '.', ''), '-', ''), '[0-9]+'))) = 0 THEN
-                        CASE WHEN len(list_filter(l, lambda x: contains(x, '.'))) > 0 THEN 'decimal numbers'
-                             WHEN len(list_filter(l, lambda x: length(x) > 3)) = 0 THEN 'small integers' ELSE 'integers' END
-                      ELSE 'text' END AS kind,
-       coalesce(array_to_string(l, ' | '), '') AS samples
-FROM s"""
+WITH h AS (SELECT event_id, CAST(user_id AS VARCHAR) AS "TRANCD", event_type AS "EFHDS1", CAST(value AS VARCHAR) AS "AMT",
+                  strftime(ts, '%Y-%m-%d') AS "TRDATE", '' AS description FROM events),
+     u AS (SELECT event_id, col AS "column", value AS x FROM (UNPIVOT (SELECT * FROM h) ON "TRANCD", "EFHDS1", "AMT", "TRDATE", description INTO NAME col VALUE value) WHERE value <> ''),
+     s AS (SELECT "column", bool_or(contains(x, '-') AND length(x) = 10) AS dated, bool_and(regexp_full_match(replace(replace(x, '.', ''), '-', ''), '[0-9]+')) AS numbers,
+                  bool_or(contains(x, '.')) AS dotted, max(length(x)) AS longest, array_to_string((array_agg(x ORDER BY event_id))[1:5], ' | ') AS samples FROM u GROUP BY 1)
+SELECT n."column", CASE WHEN s."column" IS NULL THEN 'empty' WHEN dated THEN 'dates (YYYY-MM-DD)' WHEN NOT numbers THEN 'text' WHEN dotted THEN 'decimal numbers'
+                        WHEN longest <= 3 THEN 'small integers' ELSE 'integers' END AS kind, coalesce(samples, '') AS samples
+FROM (VALUES ('TRANCD'), ('EFHDS1'), ('AMT'), ('TRDATE'), ('description')) n("column") LEFT JOIN s ON n."column" = s."column" """
 
 
 def _unknown_extract(spark: SparkSession, sf: str) -> DataFrame:

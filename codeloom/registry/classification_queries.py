@@ -110,8 +110,11 @@ def q_direction(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flat_label_sql(x: str, vocabulary: dict[str, str]) -> str:
-    low = f"lower({x})"
-    hits = {name: f"len(regexp_extract_all({low}, '{pattern}'))" for name, pattern in vocabulary.items()}
+    """Counts whole words by doubling every separator, so that a match may use up the ones around it."""
+    low = f"regexp_replace(lower({x}), '[^a-z0-9]', '\\0\\0', 'g')"
+    hits = {
+        name: f"len(regexp_extract_all({low}, '{rules.word(words.replace(' ', '  ').replace('/', '//'))}'))" for name, words in vocabulary.items()
+    }
     best = f"greatest({', '.join(hits.values())})"
     whens = " ".join(f"WHEN {h} = {best} THEN '{name}'" for name, h in hits.items())
     return f"CASE WHEN {best} = 0 THEN NULL {whens} END"
@@ -127,8 +130,7 @@ def q_flat_label(spark: SparkSession, sf: str) -> DataFrame:
 
 
 LANGUAGE_LABELS = {
-    "en": rules.word("the|and|of|for|is|that"), "fr": rules.word("le|la|les|un|une|que"),
-    "de": rules.word("der|die|das|und|ein|ist"), "es": rules.word("el|los|las|una|con|por"),
+    "en": "the|and|of|for|is|that", "fr": "le|la|les|un|une|que", "de": "der|die|das|und|ein|ist", "es": "el|los|las|una|con|por",
 }
 
 
@@ -194,7 +196,7 @@ def q_batch_numbers(spark: SparkSession, sf: str) -> DataFrame:
 RESULT_SQL = f"""WITH {CATALOG_SQL.strip()}
 SELECT transaction_code, layer, volume, {', '.join(f'{category_sql("description_samples", i)} AS category_{i + 1}' for i in range(4))},
        {confidence_sql('description_samples')} AS confidence, {direction_sql('description_samples')} AS credit_debit,
-       {SCORED_SQL.replace('lower(line)', 'lower(description_samples)')} AS include_in_scoring, layer || '-' || (pos // 15) AS batch_id, true AS was_requested
+       {SCORED_SQL.replace('lower(line)', 'lower(description_samples)')} AS include_in_scoring, layer || '-NON_POS-' || (pos // 15) AS batch_id, true AS was_requested
 FROM b"""
 RESULT_COLUMNS = [
     "transaction_code", "layer", "volume", "category_1", "category_2", "category_3", "category_4", "confidence", "credit_debit",
@@ -215,31 +217,101 @@ def q_response_parse(spark: SparkSession, sf: str) -> DataFrame:
     return results.select(*RESULT_COLUMNS)
 
 
-def _partial_answer(item: Column) -> Column:
-    """Answers in another letter case; codes ending in 5 are renamed and thereby left out."""
-    code = item["code"]
-    return F.struct(
-        F.when(F.endswith(code, F.lit("5")), F.concat(code, F.lit("x"))).otherwise(F.lower(code)).alias("transaction_code"),
-        *[F.lit("c").alias(f"category_{i}") for i in range(1, 5)],
-        F.lit(True).alias("include_in_scoring"), F.lit("Debit").alias("credit_debit"), F.lit(0.5).alias("confidence"),
+def _partial_answers() -> Column:
+    """Answers in another letter case. Codes ending in 5 are renamed and thereby left out, those ending in 7 are answered twice, and
+    one answer of every batch has no code."""
+    def entry(code: Column) -> Column:
+        return F.struct(
+            code.alias("transaction_code"), *[F.lit("c").alias(f"category_{i}") for i in range(1, 5)],
+            F.lit(True).alias("include_in_scoring"), F.lit("Debit").alias("credit_debit"), F.lit(0.5).alias("confidence"),
+        )
+
+    def answers(item: Column) -> Column:
+        code = item["code"]
+        named = F.when(F.endswith(code, F.lit("5")), F.concat(code, F.lit("x"))).otherwise(F.lower(code))
+        return F.when(F.endswith(code, F.lit("7")), F.array(entry(named), entry(named))).otherwise(F.array(entry(named)))
+
+    given = F.concat(F.array(entry(F.lit(None).cast("string"))), F.flatten(F.transform("items", answers)))
+    return F.to_json(F.struct(given.alias("classifications")), {"ignoreNullFields": "false"})
+
+
+def _transaction_requests(batched: DataFrame) -> DataFrame:
+    return batching.batch_requests(batched, batching.transaction_line(), {
+        "code": "transaction_code", "description_samples": "description_samples", "volume": "volume",
+        "source_file": "source_file", "layer": "layer",
+    })
+
+
+def _transaction_results(answered: DataFrame) -> DataFrame:
+    priced = inference.with_costs(answered, "large", TRANSACTION_PRICES)
+    meta = {"description_samples": F.lit(""), "volume": F.lit(0).cast("bigint"), "source_file": F.lit(""), "layer": F.lit(3)}
+    answers = inference.read_answers(priced, schemas.TRANSACTION_RESPONSE, "transaction_code", meta)
+    return inference.transaction_results(answers, "v1", stamp())
+
+
+def _incomplete_results(spark: SparkSession, sf: str) -> DataFrame:
+    batched = batching.assign_batches(catalog(spark, sf), "layer", ["transaction_code"], batching.TRANSACTION_BATCH)
+    answered = _transaction_requests(batched).withColumns(
+        {"raw_response": _partial_answers(), "attempts": F.lit(1), "error": F.lit(None).cast("string")}
     )
+    return _transaction_results(answered)
 
 
-@query("q_completeness", with_views("feed", f"""WITH {CATALOG_SQL.strip()}
-SELECT transaction_code, volume, 'c' AS category_1, 'c' AS category_2, 0.5::DOUBLE AS confidence, true AS was_requested FROM b WHERE NOT ends_with(transaction_code, '5')
-UNION ALL SELECT transaction_code || 'x', 0, 'c', 'c', 0.5, false FROM b WHERE ends_with(transaction_code, '5')
-UNION ALL SELECT transaction_code, volume, 'ERROR', 'LLM omitted this code from response', 0.0, true FROM b WHERE ends_with(transaction_code, '5')"""))
+INCOMPLETE_SQL = """
+SELECT transaction_code, volume, 'c' AS category_1, 'c' AS category_2, 0.5::DOUBLE AS confidence, true AS was_requested, layer FROM b WHERE NOT ends_with(transaction_code, '5')
+UNION ALL SELECT transaction_code, 0, 'c', 'c', 0.5, false, 3 FROM b WHERE ends_with(transaction_code, '7')
+UNION ALL SELECT transaction_code || 'x', 0, 'c', 'c', 0.5, false, 3 FROM b WHERE ends_with(transaction_code, '5')
+UNION ALL SELECT '', 0, 'c', 'c', 0.5, false, 3 FROM b WHERE pos % 15 = 0
+UNION ALL SELECT transaction_code, volume, 'ERROR', 'LLM omitted this code from response', 0.0, true, layer FROM b WHERE ends_with(transaction_code, '5')"""
+
+
+@query("q_completeness", with_views("feed", f"WITH {CATALOG_SQL.strip()}, a AS ({INCOMPLETE_SQL}) SELECT * EXCLUDE (layer) FROM a"))
 def q_completeness(spark: SparkSession, sf: str) -> DataFrame:
-    """Codes left out become error rows; codes nobody asked for are kept and marked."""
+    """Every code sent has one answer or one error row, whatever null, repeated, renamed and missing codes the answers hold."""
+    return _incomplete_results(spark, sf).select(
+        "transaction_code", "volume", "category_1", "category_2", "confidence", "was_requested"
+    )
+
+
+@query("q_classify_two_feeds", with_views("feed", """
+SELECT CASE l_linestatus WHEN 'F' THEN 'NON_POS' ELSE 'POS' END AS source_file, count(DISTINCT code) AS codes, count(*) AS volume,
+       true AS all_requested FROM feed GROUP BY 1"""))
+def q_classify_two_feeds(spark: SparkSession, sf: str) -> DataFrame:
+    """The catalog of two feeds, whose codes overlap, keeps its rows and volumes of each feed."""
+    from codeloom.registry.catalog_queries import q_transaction_catalog
+
+    results = classification.classify_transactions(q_transaction_catalog(spark, sf), "v1", stamp())
+    return results.groupBy("source_file").agg(
+        F.count("*").alias("codes"), F.sum("volume").alias("volume"), F.bool_and("was_requested").alias("all_requested")
+    )
+
+
+def _backend_with_outages():
+    """Answers every batch but those whose first code ends in 3."""
+    def backend(prompt: str, items: list[dict]) -> str:
+        import json
+
+        if items[0]["code"].endswith("3"):
+            raise RuntimeError("no service")
+        return json.dumps({"classifications": [
+            {"transaction_code": i["code"], "category_1": "c", "category_2": "d", "confidence": 0.5} for i in items
+        ]})
+
+    return backend
+
+
+@query("q_retry_errors", with_views("feed", f"""WITH {CATALOG_SQL.strip()},
+down AS (SELECT layer, pos // 15 AS no FROM b WHERE pos % 15 = 0 AND ends_with(transaction_code, '3'))
+SELECT transaction_code, volume, CASE WHEN no IS NULL THEN 'c' ELSE 'ERROR' END AS category_1, CASE WHEN no IS NULL THEN 'd' ELSE 'no service' END AS category_2,
+       CASE WHEN no IS NULL THEN 0.5::DOUBLE ELSE 0.0 END AS confidence, CASE WHEN no IS NULL THEN 1 ELSE 3 END AS attempts
+FROM b LEFT JOIN down ON b.layer = down.layer AND pos // 15 = no"""))
+def q_retry_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """A backend that is down for some batches: three attempts, then an error row for each of their codes."""
     batched = batching.assign_batches(catalog(spark, sf), "layer", ["transaction_code"], batching.TRANSACTION_BATCH)
-    items = {"code": "transaction_code", "description_samples": "description_samples", "volume": "volume",
-             "source_file": "source_file", "layer": "layer"}
-    requests = batching.batch_requests(batched, batching.transaction_line(), items)
-    priced = inference.with_costs(inference.answer_with(requests, _partial_answer), "large", TRANSACTION_PRICES)
-    meta = {"description_samples": F.lit(""), "volume": F.lit(0).cast("bigint"), "source_file": F.lit(""), "layer": F.lit(3)}
-    answers = inference.read_answers(priced, schemas.TRANSACTION_RESPONSE, "transaction_code", meta)
-    results = inference.transaction_results(answers, "v1", stamp())
-    return results.select("transaction_code", "volume", "category_1", "category_2", "confidence", "was_requested")
+    answered = inference.ask(_transaction_requests(batched), _backend_with_outages(), wait=lambda attempt: 0.0)
+    return _transaction_results(answered).join(answered.select("batch_id", "attempts"), "batch_id").select(
+        "transaction_code", "volume", "category_1", "category_2", "confidence", "attempts"
+    )
 
 
 @query("q_missing_codes", with_views("gt raw_codes", """
@@ -249,16 +321,15 @@ def q_missing_codes(spark: SparkSession, sf: str) -> DataFrame:
     return inference.missing_codes(v.raw_codes(spark, sf), v.truth(spark, sf), [], "transaction_code")
 
 
-@query("q_error_split", with_views("feed", f"""WITH {CATALOG_SQL.strip()}
-SELECT layer, count(*) AS rows, count(*) FILTER (ends_with(transaction_code, '5')) AS errors FROM b GROUP BY 1"""))
+@query("q_error_split", with_views("feed", f"""WITH {CATALOG_SQL.strip()}, a AS ({INCOMPLETE_SQL})
+SELECT layer, count(*) FILTER (category_1 <> 'ERROR') AS valid, count(*) FILTER (category_1 = 'ERROR') AS errors FROM a GROUP BY 1"""))
 def q_error_split(spark: SparkSession, sf: str) -> DataFrame:
-    """Valid and failed rows per layer when the backend always fails for some codes."""
-    marked = catalog(spark, sf).withColumn(
-        "category_1", F.when(F.col("transaction_code").endswith("5"), inference.ERROR).otherwise("c")
-    )
-    return marked.groupBy("layer").agg(
-        F.count("*").alias("rows"), F.count_if(F.col("category_1") == inference.ERROR).alias("errors")
+    """Valid and failed rows per layer of a run that left codes out."""
+    results = _incomplete_results(spark, sf)
+    split = inference.valid_rows(results, "category_1").withColumn("bad", F.lit(False)).unionByName(
+        inference.error_rows(results, "category_1").withColumn("bad", F.lit(True))
     )
+    return split.groupBy("layer").agg(F.count_if(~F.col("bad")).alias("valid"), F.count_if("bad").alias("errors"))
 
 
 @query("q_cost_batch", """

@@ -8,28 +8,29 @@ from pyspark.sql import functions as F
 from codeloom.operators.layers import assign_layers
 
 # Descriptions handed out to the derived feeds.
+# Invented descriptions; every rule of the rule tables meets some of them.
 TRANSACTION_TEXTS = (
-    "ACH Credit", "ACH Debit", "ACH Chargeback Fee", "ATM Withdrawal", "ATM Service Charge", "ITM Deposit",
-    "Check (On Us)", "Official Check", "Transfer from DDA", "Automatic Loan Payment", "Zelle Credit",
-    "Mobile Deposit", "Savings Deposit", "Dividend distribution", "Savings Withdrawal", "Automatic Cash Advance",
-    "Wire Transfer Credit", "Foreign Wire (Incoming)", "Domestic wire (Outgoing)", "Wire Transfer Fee",
-    "POS Debit-PIN-DDA", "POS Recurring Debit", "NSF Item Paid", "Overdraft Fee", "Overdraft Fee Reversal",
-    "Refund NSF Paid Fee", "Closing Withdrawal", "Stop Payment Order", "Stop Payment Charge", "Memo Credit",
-    "Interest Deposit", "CD Interest", "Federal withholding", "Garnishment", "Int Bnking history inquiry",
-    "Encoding Error Credit Adjustment", "Investment purchase", "Cash Management Credit", "Monthly service charge",
-    "Account Service Fee", "Statement Fee", "Dormant Fee", "Interchange Fee", "Insufficient Funds Charge",
-    "HSA Contribution", "Currency Exchange Fee", "Branch visit", "Unknown Fee", "Return Item Fee", "Payroll deposit",
+    "ACH wages from the mill", "ACH rent to landlord", "ACH late return Fee", "ATM cash at kiosk 9", "ATM surcharge Fee", "ITM envelope deposit",
+    "Check 412 cleared", "Cashier check bought", "Transfer between own accounts", "Loan payment by standing order", "Zelle from roommate",
+    "Phone camera deposit", "Coin deposit at counter", "Co-op dividend paid in", "Counter withdrawal", "Cash advance taken at desk",
+    "Wire in from supplier", "Foreign wire from Lisbon", "Domestic wire to broker", "Wire handling Fee",
+    "POS grocery terminal 3", "POS gym every month", "NSF item presented twice", "Overdraft Fee of May", "Overdraft Fee reversal of May",
+    "Refund of June NSF Fee", "Closing payout withdrawal", "Stop payment on check 88", "Stop payment request Charge", "Memo hold by hotel",
+    "Interest on rainy day account", "CD interest third quarter", "Backup withholding to treasury", "Levy by the county", "Balance inquiry at night",
+    "Posting error adjustment", "Investment buy order 17", "Cash management sweep in", "Monthly maintenance charge",
+    "Account upkeep Fee", "Paper statement Fee", "Inactivity Fee", "Interchange settlement Fee", "Insufficient funds event Charge",
+    "HSA top-up by employer", "Travel money Fee", "Lobby visit note", "Odd Fee", "Returned item Fee in May", "Bonus deposit",
 )
 PRODUCT_TEXTS = (
-    "Personal Checking", "Business Checking", "Premium Savings", "Money Market Savings", "Christmas Club",
-    "Health Savings HSA", "CD 18 month", "Fiduciary Bus Int Ck", "Basic Checking", "Public Funds DDA",
-    "Residential RE Fixed", "CRE Fixed", "Agricultural RE Fixed", "Home Equity Line", "Auto Loan", "Student Loan",
-    "Equipment Financing", "Consumer Unsecured", "Commercial Line of Credit", "Overdraft Protection",
-    "Jumbo Mortgage ARM", "Loan", "UTMA Savings",
+    "Everyday Checking", "Corner Shop Business Checking", "Rainy Day Savings", "Harbor Money Market", "Holiday Club Account",
+    "Family HSA", "CD nine months", "Trust Fiduciary Interest", "Campus Checking", "Township Public Funds",
+    "Residential Home Fixed 15", "CRE warehouse Fixed", "Agricultural land Fixed", "Home Equity revolving", "Used Auto note", "Night School Student Loan",
+    "Tractor Equipment note", "Handshake Unsecured Consumer", "Commercial harbor Line", "Overdraft cushion",
+    "Jumbo lakeside Mortgage ARM", "Note", "Minor's UTMA pot",
 )
 PURPOSE_TEXTS = (
-    "Personal/Household", "Real Estate Residential", "Real Estate Commercial", "Business Commercial",
-    "Farm Real Estate", "Farm", "Government", "Foreign", "Financial Institution", "Tax Exempt", "",
+    "household goods", "house for family", "office tower", "working capital", "orchard land", "harvest", "county bridge", "abroad",
+    "bank to bank", "exempt bond", "",
 )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,39 +23,72 @@ def _text_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+# Files whose headers are read in one job.
+HEADERS_AT_ONCE = 200
+
+
+def files_of(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """The files that a path, pattern or list names, in order; none is an error raised by Spark. Their content is not read."""
+    listed = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path)).select("path")
+    return sorted(r["path"] for r in listed.collect())
+
+
+def headers_of(spark: SparkSession, files: Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """Column names of each file, from its first line. An empty file has none."""
+    found = {}
+    for at in range(0, len(files), HEADERS_AT_ONCE):
+        lines = None
+        for file in files[at:at + HEADERS_AT_ONCE]:
+            first = spark.read.option("encoding", ENCODING).text(file).limit(1).select(F.lit(file).alias("file"), "value")
+            lines = first if lines is None else lines.unionByName(first)
+        for row in lines.collect():
+            cells = next(csv.reader([row["value"].removeprefix("\ufeff")]), [])
+            found[row["file"]] = tuple(c.strip() for c in cells)
+    return found
+
+
 def read_headed(
     spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, multiline: bool = False,
     null_cells: Sequence[str] = NULL_CELLS,
 ) -> DataFrame:
-    """Headed CSV, one file or all files of a pattern; no match is an error raised by Spark.
+    """Headed CSV, one file or all files of a pattern, stacked by column name; no match is an error raised by Spark.
 
-    Without ``columns`` the names come from the header (one line is read for that). ``multiline``
-    allows line breaks inside quotes but stops a file from being split, so it is off by default.
+    Files may order their columns differently or lack some, which are null there. With ``columns``, only these are returned, in this
+    order; one that no file has is an error. ``multiline`` allows line breaks inside quotes but stops a file from being split, so it
+    is off by default.
     """
     reader = (
         spark.read.option("header", True).option("encoding", ENCODING).option("multiLine", multiline)
         .option("quote", '"').option("escape", '"').option("enforceSchema", True)
     )
-    if columns:
-        reader = reader.schema(_text_schema(columns))
-    else:
-        reader = reader.option("inferSchema", False)
-    df = reader.csv(path)
-    named = df.toDF(*[c.strip() for c in df.columns])
-    return named.select(*[nullify(F.col(f"`{c}`"), null_cells).alias(c) for c in named.columns])
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file, names in headers_of(spark, files_of(spark, path)).items():
+        by_header.setdefault(names, []).append(file)
+    known = list(dict.fromkeys(name for names in by_header for name in names))
+    wanted = list(columns) if columns else known
+    if absent := [c for c in wanted if c not in known]:
+        raise ValueError(f"no file has the columns {absent}")
+    stacked = None
+    for names, files in by_header.items():
+        own = reader.schema(_text_schema(names)).csv(files)
+        shown = own.select(*[
+            nullify(F.col(f"`{c}`"), null_cells).alias(c) if c in names else F.lit(None).cast("string").alias(c) for c in wanted
+        ])
+        stacked = shown if stacked is None else stacked.unionByName(shown)
+    return spark.createDataFrame([], _text_schema(wanted)) if stacked is None else stacked
 
 
 def read_positional(
-    spark: SparkSession, path: str, width: int, null_cells: Sequence[str] = NULL_CELLS
+    spark: SparkSession, path: str, width: int, null_cells: Sequence[str] = NULL_CELLS, multiline: bool = False
 ) -> DataFrame:
     """Headerless sheet as columns c0..; ``sheet`` is the file and ``rn`` the row order within it.
 
     ``rn`` follows the reading order: increasing within a file part, and parts of a file are read in
-    order of their offset.
+    order of their offset. Cells with line breaks need ``multiline``, with which a sheet is read by one task.
     """
     names = [f"c{i}" for i in range(width)]
     df = (
-        spark.read.option("header", False).option("encoding", ENCODING).option("multiLine", True)
+        spark.read.option("header", False).option("encoding", ENCODING).option("multiLine", multiline)
         .option("quote", '"').option("escape", '"').schema(_text_schema(names)).csv(path)
     )
     return df.select(

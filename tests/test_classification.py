@@ -168,6 +168,13 @@ def test_labels_and_attributes(spark):
     ]
 
 
+def test_neighbouring_words_count_each(spark):
+    vocabulary = {"a": "the|and|of|for", "b": "stop payment|hold", "c": "fee"}
+    texts = ["the and of for fee", "stop payment stop payment fee", "THE.fee,fee/fee", "thefee", "", None, "hold hold hold the the"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(labels.flat_label("t", vocabulary)).collect()] == ["a", "b", "c", None, None, None, "b"]
+
+
 def test_purpose_and_class(spark):
     df = spark.createDataFrame([("01", "i"), ("2", "B "), ("07", "T"), ("9", "G"), (None, None)], "p string, c string")
     got = [tuple(r) for r in df.select(rules.purpose_lob("p"), rules.customer_class_lob("c")).collect()]
@@ -218,9 +225,9 @@ def test_native_and_python_backends_agree(catalog):
     python = classification.classify_transactions(catalog, "v1", now(), backend=inference.rule_backend, wait=no_wait)
     assert native.schema.names == schemas.CLASSIFICATION_RESULTS.names == python.schema.names
     same = [c for c in native.columns if c not in ("llm_raw", "tokens_out", "estimated_cost")]
-    # The code of two feeds stays two rows; both come back with the metadata of the first match in the batch.
+    # The code of two feeds stays two rows, each with its own metadata.
     assert rows(native, *same) == rows(python, *same)
-    assert native.count() == 4
+    assert rows(native, "transaction_code", "source_file", "volume") == sorted((c, f, v) for c, _, v, f, _ in CATALOG)
     assert {tuple(r) for r in native.select("transaction_code", "layer").collect()} == {("0100", 1), ("aB", 1), ("7", 3)}
 
 
@@ -232,11 +239,42 @@ def test_answers_in_other_case_extra_missing_and_null(catalog):
     got = classification.classify_transactions(catalog, "v1", now(), backend=backend, wait=no_wait)
     found = rows(got, "transaction_code", "category_1", "category_2", "volume", "layer", "confidence", "was_requested")
     assert found == sorted([
-        ("AB", "c", None, 2, 1, None, True), ("extra", "c", None, 0, 3, None, False), ("extra", "c", None, 0, 3, None, False),
+        ("AB", "c", None, 2, 1, None, True), *[("extra", "c", None, 0, 3, None, False)] * 3,
         ("7", "c", None, 9, 3, None, True), ("0100", "ERROR", inference.OMITTED, 5, 1, 0.0, True), ("0100", "ERROR", inference.OMITTED, 1, 1, 0.0, True),
     ], key=repr)
 
 
+def test_every_item_gets_one_answer_or_one_error(spark):
+    items = [("x", "s1", 1, "A", 1), ("X ", "s2", 2, "A", 1), ("y", "s3", 4, "A", 1), (None, "s4", 8, "A", 1)]
+    catalog = spark.createDataFrame(items, "transaction_code string, description_samples string, volume bigint, source_file string, layer int")
+
+    def backend(prompt, items):
+        codes = ["X", None, "x", "x", "z"]
+        return json.dumps({"classifications": [{"transaction_code": c, "category_1": f"a{i}"} for i, c in enumerate(codes)]})
+
+    got = classification.classify_transactions(catalog, "v1", now(), backend=backend, wait=no_wait)
+    found = rows(got, "transaction_code", "category_1", "volume", "was_requested")
+    # The two items of code X get the first two answers; the third, the null and the unknown code belong to no item.
+    assert sorted(r[2] for r in found if r[3]) == [1, 2, 4, 8]
+    assert sorted((r[0], r[1]) for r in found if not r[3]) == [("", "a1"), ("x", "a3"), ("z", "a4")]
+    assert sorted(r[2] for r in found if r[1] == "ERROR") == [4, 8]
+
+
+def test_batches_are_spread_over_tasks(spark):
+    requests = spark.range(2000).select(
+        F.col("id").cast("string").alias("batch_id"), F.lit("p").alias("prompt"),
+        F.array(F.struct(F.col("id").cast("string").alias("code"))).alias("items"),
+    )
+
+    def backend(prompt, items):
+        from pyspark import TaskContext
+
+        return str(TaskContext.get().partitionId())
+
+    answered = inference.ask(requests, backend, wait=no_wait)
+    assert answered.count() == 2000 and answered.select("raw_response").distinct().count() > 32
+
+
 def test_unreadable_answer_fails_the_batch(catalog):
     got = classification.classify_transactions(catalog, "v1", now(), backend=lambda p, i: "no json", wait=no_wait)
     assert {tuple(r) for r in got.select("category_1", "category_2", "confidence").collect()} == {("ERROR", "unreadable response", 0.0)}
@@ -248,10 +286,10 @@ def test_retries_then_error_rows(catalog, tmp_path):
 
     def backend(prompt, items):
         with open(log, "a") as out:
-            out.write(items[0]["code"] + "\n")
+            out.write(items[0]["code"] + items[0]["source_file"] + "\n")
         if items[0]["code"] == "7":
             raise RuntimeError("boom " + "x" * 300)
-        if open(log).read().split().count(items[0]["code"]) < 3:
+        if open(log).read().split().count(items[0]["code"] + items[0]["source_file"]) < 3:
             raise RuntimeError("flaky")
         return inference.rule_backend(prompt, items)
 
@@ -259,11 +297,11 @@ def test_retries_then_error_rows(catalog, tmp_path):
     by_code = {r["transaction_code"]: r for r in got.collect()}
     assert by_code["0100"]["category_1"] == N
     failed = by_code["7"]
-    assert failed["category_1"] == "ERROR" and failed["category_2"] == ("boom " + "x" * 300)[:200]
+    assert failed["category_1"] == "ERROR" and failed["category_2"] == "boom " + "x" * 300
     assert (failed["tokens_in"], failed["estimated_cost"], failed["confidence"]) == (0, 0.0, 0.0)
     # Three attempts each, and the kept answers are not asked for again.
     assert got.count() == 4
-    assert sorted(open(log).read().split()) == ["0100"] * 3 + ["7"] * 3
+    assert sorted(open(log).read().split()) == ["0100NON_POS"] * 3 + ["0100POS"] * 3 + ["7POS"] * 3
     assert [inference.wait_seconds(a) for a in (1, 2)] == [2.0, 4.0]
 
 

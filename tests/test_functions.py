@@ -31,8 +31,9 @@ def test_canon_knows_every_empty_token(spark):
 
 def test_sanitize_cuts_last(spark):
     raw = "a\x00b\x1f\x7f\x9f\\c" + "x" * 300
-    wanted = "".join(c for c in raw if not (ord(c) < 32 or 127 <= ord(c) <= 159)).replace("\\", "\\\\")[:200]
+    wanted = "".join(c for c in raw if not (ord(c) < 32 or 127 <= ord(c) <= 159)).replace("\\", "\\\\")
     assert one(spark, raw, text.sanitize_description) == wanted
+    assert one(spark, raw, lambda c: text.sanitize_description(c, 200)) == wanted[:200]
 
 
 def test_surrogate_id_ignores_case_and_space(spark):

@@ -155,7 +155,7 @@ def test_account_history(spark):
         ("L1", "R1", "Resi", "DORMANT", None, 6.125), ("L2", "R1", "Own", "ACTIVE", None, None),
     ]
     assert account_history.account_history(d, ln, 1).count() == 2
-    assert account_history.account_history(d, ln, None).count() == 4
+    assert account_history.account_history(d, ln).count() == 4
 
 
 def test_required_columns(spark):

@@ -66,14 +66,14 @@ def test_headed_files(spark, tmp_path):
     got = delimited.read_headed(spark, f"{tmp_path}/x*.csv")
     assert got.columns == ["Code", "Name"]
     assert rows(got) == [("003", None), ("01", "café"), ("02", 'a, "b"')]
-    assert delimited.read_headed(spark, f"{tmp_path}/x2.csv", ["K", "V"]).columns == ["K", "V"]
+    assert delimited.read_headed(spark, f"{tmp_path}/x2.csv", ["Name", "Code"]).columns == ["Name", "Code"]
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         delimited.read_headed(spark, f"{tmp_path}/none*.csv").collect()
 
 
 def test_positional_sheets_keep_their_order(spark, tmp_path):
     (tmp_path / "s.csv").write_text("U1,x\n\"multi\nline\",y\nNA,z\n")
-    got = delimited.read_positional(spark, f"{tmp_path}/s.csv", 3).orderBy("rn").collect()
+    got = delimited.read_positional(spark, f"{tmp_path}/s.csv", 3, multiline=True).orderBy("rn").collect()
     assert [(r["c0"], r["c1"], r["c2"]) for r in got] == [("U1", "x", None), ("multi\nline", "y", None), (None, "z", None)]
     assert got[0]["sheet"].endswith("s.csv")
 
@@ -103,3 +103,22 @@ def test_observed_counts(spark):
     df, watch = observed(spark.range(10), "filter", before=F.count("*"), kept=F.count_if(F.col("id") > 6))
     assert df.filter("id > 6").count() == 3
     assert watch.get == {"before": 10, "kept": 3}
+
+
+def test_files_are_stacked_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\nx,1\n")
+    (tmp_path / "b.csv").write_text("b, a \n2,y\n")
+    (tmp_path / "c.csv").write_text("a,c\nz,3\n")
+    (tmp_path / "d.csv").write_text("")
+    assert rows(delimited.read_headed(spark, f"{tmp_path}/*.csv")) == sorted([("x", "1", None), ("y", "2", None), ("z", None, "3")])
+    assert rows(delimited.read_headed(spark, f"{tmp_path}/*.csv", ["c", "a"])) == sorted([(None, "x"), (None, "y"), ("3", "z")], key=repr)
+    with pytest.raises(ValueError, match="missing"):
+        delimited.read_headed(spark, f"{tmp_path}/*.csv", ["a", "missing"])
+
+
+def test_ragged_records_over_several_lines(spark, tmp_path):
+    body = ",".join(HEADER) + '\r\n1,2,3,4,5,6,"one\ntwo, ""three""\n",d2,t1,t2\n\n1,2,3,4,5,6,in " the middle,x,d2,t1,t2\nshort,"a\nb"\n'
+    (tmp_path / "a.csv").write_text(body, newline="")
+    got, rejects = ragged.read_ragged(spark, f"{tmp_path}/a.csv", multiline=True)
+    assert rows(got, "D1", "D2", "T2") == sorted([('one\ntwo, "three"\n', "d2", "t2"), ('in " the middle,x', "d2", "t2")])
+    assert rows(rejects) == [('short,"a\nb"', 2)]
