@@ -23,34 +23,52 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+# Micro-batches that the events arrive in.
+SLICES = 4
+
+
 def _events(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as a stream of files, one per trigger, in the order of their times."""
     # Event times carry no zone; day windows are UTC days.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    schema = v.table(spark, sf, "events").schema
-    return ingest.event_time(ingest.open_files(spark, f"{sf}/events*.parquet", schema), "ts")
+    events, folder = v.table(spark, sf, "events"), work_dir(spark, "events")
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    bounds = [low + (high - low) * n / SLICES for n in range(1, SLICES)] if low else []
+    for n in range(len(bounds) + 1):
+        part = events.filter(F.col("ts") >= F.lit(bounds[n - 1])) if n else events
+        part = part.filter(F.col("ts") < F.lit(bounds[n])) if n < len(bounds) else part
+        part.coalesce(1).write.parquet(f"{folder}/{n}")
+    return ingest.event_time(ingest.open_files(spark, f"{folder}/*/*.parquet", events.schema, per_trigger=1), "ts")
 
 
 @query("q_stream_ingest", """
-SELECT CAST(conv_id AS VARCHAR) AS "A", CAST(turn AS VARCHAR) AS "B", count(*) AS n FROM conversations GROUP BY 1, 2""")
+SELECT CAST(conv_id AS VARCHAR) AS conv, count(*) AS n, count(*) FILTER (turn % 3 = 0) AS rejected FROM conversations GROUP BY 1""")
 def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Ragged lines of whole texts written as files, then picked up by a stream."""
-    source, out = work_dir(spark, "lines"), work_dir(spark, "rows")
+    """Ragged lines of whole texts in several files, then picked up by a stream; every third turn also sends a line too short."""
+    source, out, bad = work_dir(spark, "lines"), work_dir(spark, "rows"), work_dir(spark, "rejects")
     flat = F.translate("text", "\n\r\"", "  ")
-    v.table(spark, sf, "conversations").select(
-        F.concat_ws(",", F.col("conv_id").cast("string"), F.col("turn").cast("string"), "role", F.lit("d"), F.lit("e"), F.lit("f"), flat, F.lit("x"), F.lit("end"))
-    ).write.text(source)
-    rows, _ = ingest.open_ragged(spark, source, ["A", "B", "C", "D", "E", "F", "DESC1", "DESC2", "END"])
+    conversations = v.table(spark, sf, "conversations")
+    sound = F.concat_ws(",", F.col("conv_id").cast("string"), F.col("turn").cast("string"), "role", F.lit("d"), F.lit("e"), F.lit("f"), flat, F.lit("x"), F.lit("end"))
+    short = F.when(F.col("turn") % 3 == 0, F.concat_ws(",", F.col("conv_id").cast("string"), F.lit("short")))
+    conversations.repartition(SLICES, "conv_id").select(F.explode(F.array_compact(F.array(sound, short)))).write.text(source)
+    header = ["A", "B", "C", "D", "E", "F", "DESC1", "DESC2", "END"]
+    rows, rejects = ingest.open_ragged(spark, source, header, per_trigger=1)
     ingest.drain(rows, out, work_dir(spark, "state"))
-    return spark.read.schema(rows.schema).parquet(out).groupBy("A", "B").agg(F.count("*").alias("n"))
+    ingest.drain(rejects, bad, work_dir(spark, "state"))
+    good = spark.read.schema(rows.schema).parquet(out).select(F.col("A").alias("conv"), F.lit(0).alias("bad"))
+    wrong = spark.read.schema(rejects.schema).parquet(bad).select(F.substring_index("line", ",", 1).alias("conv"), F.lit(1).alias("bad"))
+    return good.unionByName(wrong).groupBy("conv").agg(F.count_if(F.col("bad") == 0).alias("n"), F.count_if(F.col("bad") == 1).alias("rejected"))
 
 
 @query("q_stream_upsert", """
 SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def q_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    out = work_dir(spark, "current")
+    """Changes in several batches, merged into a snapshot that retires them."""
+    out, target = work_dir(spark, "current"), work_dir(spark, "snapshot")
     key, order = ["user_id"], ["ts", "event_id"]
     current.upsert_stream(_events(spark, sf), out, work_dir(spark, "state"), key, order)
-    return current.current_records(spark, out, key, order).select("user_id", "event_id", "event_type", "value")
+    current.compact(spark, out, target, key, order)
+    return current.current_records(spark, out, key, order, target=target).select("user_id", "event_id", "event_type", "value")
 
 
 @query("q_stream_dedupe", "SELECT event_id, event_type, value FROM events")

@@ -45,9 +45,31 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _application_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/codeloom/{spark.sparkContext.applicationId}"
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/codeloom/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in a folder of this application."""
+    return f"{_application_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder of any file system Spark knows; none if there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.listStatus(folder)) if files.exists(folder) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with what is in it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application. Frames that were built on them cannot be read any more."""
+    remove(spark, _application_root(spark))
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from codeloom.session import children, remove
+
 
 def last_change(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Last record per key. The map-side combine keeps one candidate per key and task.
@@ -39,18 +43,43 @@ def upsert_stream(
     return query
 
 
+def _numbers(spark: SparkSession, path: str, name: str) -> list[int]:
+    found = (re.fullmatch(rf"{name}=(\d+)", child) for child in children(spark, path))
+    return sorted(int(m[1]) for m in found if m)
+
+
 def current_records(
-    spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str], snapshot: DataFrame | None = None
+    spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str], snapshot: DataFrame | None = None,
+    target: str | None = None,
 ) -> DataFrame:
-    """Snapshot and deltas merged when read."""
-    deltas = spark.read.parquet(path).drop("batch_id")
-    rows = deltas if snapshot is None else snapshot.unionByName(deltas)
-    return last_change(rows, key, order)
+    """Snapshot and deltas merged when read. With ``target``, its last snapshot, and only deltas later than that, are read."""
+    upto = _numbers(spark, target, "upto")[-1:] if target else []
+    rows = [] if snapshot is None else [snapshot]
+    if upto:
+        rows.append(spark.read.parquet(f"{target}/upto={upto[0]}"))
+    late = [n for n in _numbers(spark, path, "batch_id") if not upto or n > upto[0]]
+    if late:
+        rows.append(spark.read.parquet(*[f"{path}/batch_id={n}" for n in late]))
+    if not rows:
+        raise ValueError(f"no records below {path}")
+    return last_change(reduce(DataFrame.unionByName, rows), key, order)
 
 
 def compact(
     spark: SparkSession, path: str, target: str, key: Sequence[str], order: Sequence[str], snapshot: DataFrame | None = None
 ) -> DataFrame:
-    """Write the merged state as the next snapshot."""
-    current_records(spark, path, key, order, snapshot).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    """Write the merged state as the next snapshot below ``target`` and retire what went into it.
+
+    A snapshot is named by the last batch it holds, in a folder of its own, so nothing is overwritten that is still read; a batch
+    that is replayed later is known to be merged. ``snapshot`` is what the first compaction starts from.
+    """
+    before, batches = _numbers(spark, target, "upto"), _numbers(spark, path, "batch_id")
+    upto = max([*before, *batches], default=0)
+    if not before or upto > before[-1]:
+        current_records(spark, path, key, order, snapshot if not before else None, target).write.mode("overwrite").parquet(f"{target}/upto={upto}")
+    for n in batches:
+        remove(spark, f"{path}/batch_id={n}")
+    for n in before:
+        if n != upto:
+            remove(spark, f"{target}/upto={n}")
+    return spark.read.parquet(f"{target}/upto={upto}")

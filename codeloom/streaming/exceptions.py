@@ -6,27 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from codeloom.functions.text import code_key
 from codeloom.schemas import NEW_CODE_REPORT
 
+
 def _batch_path(path: str, batch: int) -> str:
     return f"{path}/batch_id={batch}"
 
 
-def _reported_before(spark: SparkSession, path: str, batch: int) -> DataFrame:
-    """Codes reported by earlier batches; a replayed batch ignores its own first attempt."""
-    schema = T.StructType([*NEW_CODE_REPORT.fields, T.StructField("batch_id", T.LongType())])
-    if batch == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).filter(F.col("batch_id") < batch)
-
-
 def _report(master: DataFrame, path: str, code: str, time: str, mapping: str) -> Callable[[DataFrame, int], None]:
     def write(rows: DataFrame, batch: int) -> None:
-        spark = rows.sparkSession
         seen = (
             rows.select(code_key(code).alias("code"), F.col(time).alias("_time"))
             .filter(F.col("code").isNotNull() & (F.col("code") != ""))
@@ -34,10 +25,8 @@ def _report(master: DataFrame, path: str, code: str, time: str, mapping: str) ->
             .agg(F.min("_time").alias("first_seen"), F.count("*").alias("volume"))
         )
         known = master.select(code_key(mapping).alias("code"))
-        fresh = seen.join(known, "code", "left_anti").join(
-            _reported_before(spark, path, batch).select("code"), "code", "left_anti"
-        )
-        fresh.write.mode("overwrite").parquet(_batch_path(path, batch))
+        # Overwriting the folder of this batch makes a replay harmless.
+        seen.join(known, "code", "left_anti").write.mode("overwrite").parquet(_batch_path(path, batch))
 
     return write
 
@@ -45,10 +34,10 @@ def _report(master: DataFrame, path: str, code: str, time: str, mapping: str) ->
 def report_new_codes(
     stream: DataFrame, master: DataFrame, path: str, checkpoint: str, code: str, time: str, mapping: str
 ) -> StreamingQuery:
-    """Report each unknown code once, with its first sighting.
+    """Report unknown codes with their first sighting and their volume.
 
     Every micro-batch is first reduced to its distinct codes (map-side, so hot codes cost nothing);
-    what was reported lives in the output table, not in a state store that grows for ever.
+    what was seen lives in the output table, not in a state store that grows for ever.
     """
     query = (
         stream.writeStream.foreachBatch(_report(master, path, code, time, mapping))
@@ -59,4 +48,6 @@ def report_new_codes(
 
 
 def reported_codes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(NEW_CODE_REPORT).parquet(f"{path}/batch_id=*")
+    """Each unknown code once: when it was first seen, and how often in all batches so far."""
+    seen = spark.read.schema(NEW_CODE_REPORT).parquet(f"{path}/batch_id=*")
+    return seen.groupBy("code").agg(F.min("first_seen").alias("first_seen"), F.sum("volume").alias("volume")).select(*seen.columns)

@@ -20,10 +20,14 @@ def open_files(spark: SparkSession, path: str, schema: T.StructType, kind: str =
     return reader.load(path)
 
 
-def open_ragged(spark: SparkSession, path: str, header: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def open_ragged(
+    spark: SparkSession, path: str, header: Sequence[str], per_trigger: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects) of a stream of ragged files: the same expressions as the batch reader."""
-    lines = spark.readStream.format("text").load(path)
-    return repair(lines, header)
+    reader = spark.readStream.format("text")
+    if per_trigger:
+        reader = reader.option("maxFilesPerTrigger", per_trigger)
+    return repair(reader.load(path), header)
 
 
 def drain(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
