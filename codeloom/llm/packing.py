@@ -24,6 +24,8 @@ CAPACITY = 2048
 END_ID = 0
 # Pieces that one task packs together.
 SHARD_PIECES = 8_000
+# The most tasks that shards are dealt to. The number is given, as the few bytes of a shard hide how long packing it takes.
+SHARD_TASKS = 4_000
 # A further round must save this share of the sequences that were opened.
 LEAST_GAIN = 0.002
 
@@ -189,7 +191,8 @@ def pack_pieces(found: DataFrame, capacity: int = CAPACITY, shard_pieces: int =
     count, opened = todo.count(), None
     while True:
         shards = max(1, -(-count // shard_pieces))
-        dealt = todo.withColumn("_shard", F.pmod(F.xxhash64("doc_id", "piece", "start", F.lit(rounds)), F.lit(shards)))
+        shard = F.pmod(F.xxhash64("doc_id", "piece", "start", F.lit(rounds)), F.lit(shards))
+        dealt = todo.withColumn("_shard", shard).repartition(min(shards, SHARD_TASKS), "_shard")
         packed = store.keep(dealt.groupBy("_shard").applyInPandas(_pack_shard(capacity, rounds), fields))
         full = packed.filter(F.col("_fill") == capacity)
         loose = packed.filter(F.col("_fill") < capacity)
