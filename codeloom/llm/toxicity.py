@@ -36,6 +36,8 @@ STEMS = (4, 5, 6)
 LEAST_TEXTS, LEAST_ODDS, LEAST_ROOT = 3, 2.0, 4.0
 # The bound of what is sent to every task.
 LEXICON_TERMS = 20_000
+# Rows that a task hands over at once.
+TERMS_AT_ONCE = 50_000
 NEAR_WORDS = 5
 TREES, DEPTH, STEP = 20, 4, 0.2
 FOLDS, HELD_OUT = 4, 2
@@ -139,7 +141,9 @@ def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text, toxic in zip(batch["text"], batch["toxic"]):
             counts[int(toxic)].update(text_terms(text))
     terms = list(counts[0] | counts[1])
-    yield pd.DataFrame({"term": terms, "clean": [counts[0][t] for t in terms], "toxic": [counts[1][t] for t in terms]})
+    for at in range(0, len(terms), TERMS_AT_ONCE):
+        part = terms[at:at + TERMS_AT_ONCE]
+        yield pd.DataFrame({"term": part, "clean": [counts[0][t] for t in part], "toxic": [counts[1][t] for t in part]})
 
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
