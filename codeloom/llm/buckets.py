@@ -11,10 +11,13 @@ from codeloom.llm.components import components
 from codeloom.llm.tables import Store
 
 Verify = Callable[[DataFrame], DataFrame]
+# Gives a column of one side of a pair by its name.
+Side = Callable[[str], Column]
 
 
 def classes_of_buckets(
     buckets: DataFrame, fits: Callable[[Column, Column], Column], verify: Verify, store: Store,
+    details: DataFrame | None = None, plausible: Callable[[Side, Side], Column] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Classes of nodes that are connected through verified pairs of one bucket, and those pairs.
 
@@ -24,7 +27,8 @@ def classes_of_buckets(
     First every node meets only the smallest indexed node of its buckets: pairs grow with the rows, not with their square, and
     a group of copies however large is joined up. Then, in buckets that still hold several classes, the pairs from different
     classes that have not met are verified too. A pair is left out only if its nodes are already in one class, so the classes
-    are those that all candidate pairs would give.
+    are those that all candidate pairs would give. With ``details`` (column node and others), these pairs must also be
+    ``plausible``, judged by the details and the key: most look-alikes that are no links end there, before they become rows. A node without details is always plausible.
 
     Returns (node, component) for nodes with links, and the verified pairs (a, b).
     """
@@ -50,12 +54,12 @@ def classes_of_buckets(
         placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
     )
     open_rows = placed.join(mixed, "key")
+    meet = (F.col("l.key") == F.col("r.key")) & (F.col("l.component") != F.col("r.component")) & fits(F.col("l.size"), F.col("r.size"))
+    if details is not None:
+        open_rows = store.keep(open_rows.join(details, "node", "left"))
+        meet &= F.coalesce(plausible(lambda name: F.col(f"l.{name}"), lambda name: F.col(f"r.{name}")), F.lit(True))
     left, right = open_rows.alias("l"), open_rows.filter("indexed").alias("r")
-    apart = left.join(
-        right,
-        (F.col("l.key") == F.col("r.key")) & (F.col("l.component") != F.col("r.component"))
-        & fits(F.col("l.size"), F.col("r.size")),
-    ).select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
+    apart = left.join(right, meet).select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
     second = store.keep(apart.join(first, ["a", "b"], "left_anti"))
     store.drop(heads, members, first, placed, mixed)
     if second.isEmpty():
