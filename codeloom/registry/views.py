@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from codeloom.operators.layers import assign_layers
 
 # Descriptions handed out to the derived feeds.
-# Invented descriptions; every rule of the rule tables meets some of them.
+# Invented descriptions for the rule tables to place.
 TRANSACTION_TEXTS = (
     "ACH wages from the mill", "ACH rent to landlord", "ACH late return Fee", "ATM cash at kiosk 9", "ATM surcharge Fee", "ITM envelope deposit",
     "Check 412 cleared", "Cashier check bought", "Transfer between own accounts", "Loan payment by standing order", "Zelle from roommate",
