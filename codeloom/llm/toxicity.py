@@ -38,6 +38,8 @@ LEAST_TEXTS, LEAST_ODDS, LEAST_ROOT = 3, 2.0, 4.0
 LEXICON_TERMS = 20_000
 # Rows that a task hands over at once.
 TERMS_AT_ONCE = 50_000
+# The sample is a few thousand rows; every level of every tree is a job over it, so it lies in few partitions.
+FITTING_TASKS = 4
 NEAR_WORDS = 5
 TREES, DEPTH, STEP = 20, 4, 0.2
 FOLDS, HELD_OUT = 4, 2
@@ -200,7 +202,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     chosen = store.keep(drawn[0].unionByName(drawn[1]).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PARTS))))
     sample = store.keep(docs.select("doc_id", "text").join(bounded_side(chosen), "doc_id").select("text", "toxic", "part"))
     lexicon = learn_lexicon(sample.filter(F.col("part").isin(*LEXICON_PARTS)))
-    rows = store.keep(_with_features(sample.filter(~F.col("part").isin(*LEXICON_PARTS)), lexicon).drop("text"))
+    fitting = sample.filter(~F.col("part").isin(*LEXICON_PARTS)).coalesce(FITTING_TASKS)
+    rows = store.keep(_with_features(fitting, lexicon).drop("text"))
     labelled = rows.withColumn("label", F.col("toxic").cast("double"))
     teaching, checking = labelled.filter(F.col("part") == TREE_PART), labelled.filter(F.col("part") == CALIBRATION_PART)
     present = {(r["part"], r["toxic"]) for r in rows.select("part", "toxic").distinct().collect()}
