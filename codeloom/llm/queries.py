@@ -29,5 +29,6 @@ SQL: dict[str, str] = {
     "op3_urlfilter": urlfilter.SQL,
     "op5_decontaminate": decontaminate.SQL,
     "op6_chat": chat.SQL,
+    "op7_linededup": linededup.SQL,
     "op9_exact": exact.SQL,
 }
