@@ -58,6 +58,8 @@ def classes_of_buckets(
     if details is not None:
         open_rows = store.keep(open_rows.join(details, "node", "left"))
         meet &= F.coalesce(plausible(lambda name: F.col(f"l.{name}"), lambda name: F.col(f"r.{name}")), F.lit(True))
+    # Two indexed nodes meet in one order only.
+    meet &= ~F.col("l.indexed") | (F.col("l.node") < F.col("r.node"))
     left, right = open_rows.alias("l"), open_rows.filter("indexed").alias("r")
     apart = left.join(right, meet).select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
     second = store.keep(apart.join(first, ["a", "b"], "left_anti"))
