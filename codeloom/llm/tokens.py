@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 
 # How byte-level BPE splits text before merging.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# The rank encoder's pattern search panics on runs of white space from about 986,000 characters; longer ones than this are not given to it.
+LONGEST_RUN = 100_000
+
+_SPACES = re.compile(r"\s+")
 
 
 def default_vocabulary() -> str:
@@ -27,7 +32,8 @@ class Encoder:
     """Encodes whole texts as ordinary text: strings of special tokens in a text are text.
 
     If ids rise in the order of the merges, as in most byte-level vocabularies, ids are ranks and the ids are found by ranks,
-    which takes a third of the time of the general encoder and gives the same ids. Else the general encoder is used.
+    which takes a third of the time of the general encoder and gives the same ids. Else the general encoder is used, as for texts
+    with more than LONGEST_RUN characters of white space in a row.
     """
 
     def __init__(self, file_text: str):
@@ -52,6 +58,6 @@ class Encoder:
     def ids(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, "<u4")
-        if self.by_rank is None:
+        if self.by_rank is None or (len(text) > LONGEST_RUN and any(m.end() - m.start() > LONGEST_RUN for m in _SPACES.finditer(text))):
             return np.array(self.general.encode(text, add_special_tokens=False).ids, "<u4")
         return np.array(self.by_rank.encode_ordinary(text), "<u4")

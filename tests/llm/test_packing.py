@@ -70,6 +70,14 @@ def test_ids_equal_for_every_code_point(encoder, start):
         assert encoder.ids(text).tolist() == encoder.general.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [
+    " " * 3_000_000, "x" + " " * 3_000_000 + "y", "\n" * 3_000_000, " \n" * 1_000_000 + "a", "\u3000" * 1_200_000, "a" * 3_000_000,
+    " " * 100_000 + "a" + "\n" * 100_001, "a " * 200_000,
+])
+def test_ids_of_long_runs(encoder, text):
+    assert encoder.ids(text).tolist() == encoder.general.encode(text, add_special_tokens=False).ids
+
+
 def by_document(rows):
     out = {}
     for r in sorted(rows, key=lambda r: r["piece"]):
