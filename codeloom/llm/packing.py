@@ -133,18 +133,21 @@ def pack(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return Exchange(best_fit(lengths, capacity), lengths, capacity).run()
 
 
-def token_pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, with_ids: bool = False, special_as_text: bool = False,
+) -> DataFrame:
     """Columns doc_id, piece, start, length, ids_crc32 and, if asked for, ids: the documents' tokens, each ended by END_ID.
 
     Only documents longer than a sequence are cut, into full sequences; their first piece is what is left over. A null or empty
-    text is its end token alone. Every row of ``docs`` is a document; other columns than doc_id and text are ignored.
+    text is its end token alone. Every row of ``docs`` is a document; other columns than doc_id and text are ignored. Strings of
+    special tokens in a text become their ids, or are ordinary text if ``special_as_text``.
     """
     with open(vocabulary or default_vocabulary(), encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
     fields = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(shared.value, special_as_text)
         for batch in batches:
             for part in pieces(batch, "text"):
                 rows: list[tuple] = []

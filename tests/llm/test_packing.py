@@ -78,6 +78,51 @@ def test_ids_of_long_runs(encoder, text):
     assert encoder.ids(text).tolist() == encoder.general.encode(text, add_special_tokens=False).ids
 
 
+SPECIAL_TEXTS = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n y", "<|endoftext|", "a<|endoftext|>b" * 50, "\n\n <|endoftext|>  z"]
+
+
+def test_added_tokens_are_ids_as_in_the_library():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(default_vocabulary())
+    file_text = open(default_vocabulary(), encoding="utf-8").read()
+    made, as_text = Encoder(file_text), Encoder(file_text, special_as_text=True)
+    altered = Tokenizer.from_file(default_vocabulary())
+    altered.encode_special_tokens = True
+    assert made.by_rank is not None and made.ids(SPECIAL_TEXTS[0]).tolist() == [64, 220, 50256, 275]
+    for text in SPECIAL_TEXTS:
+        assert made.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids, text
+        assert as_text.ids(text).tolist() == altered.encode(text, add_special_tokens=False).ids, text
+
+
+def test_added_tokens_of_other_kinds_and_common_beginnings():
+    from tokenizers import AddedToken, Tokenizer
+
+    texts = [*SPECIAL_TEXTS, "a<x><x>y <x>y z", "q <w> r<w>s", " <x>  <|endoftext|> <w>"]
+    kinds = [
+        ([AddedToken("<x>", special=True, normalized=False), AddedToken("<x>y", special=True, normalized=False)], True),
+        ([AddedToken("<x>", special=True), AddedToken("<x>y", special=False)], False),
+        ([AddedToken("<w>", lstrip=True, single_word=True)], False),
+    ]
+    for extra, ranked in kinds:
+        library = Tokenizer.from_file(default_vocabulary())
+        library.add_tokens(extra)
+        for as_text in (False, True):
+            made = Encoder(library.to_str(), as_text)
+            assert (made.by_rank is not None) == ranked
+            library.encode_special_tokens = as_text
+            for text in texts:
+                assert made.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, (text, as_text)
+
+
+def test_pieces_hold_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(default_vocabulary())
+    found = packing.token_pieces(documents(spark, SPECIAL_TEXTS), with_ids=True).collect()
+    assert {r.doc_id: r.ids for r in found} == {i: plain.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(SPECIAL_TEXTS)}
+
+
 def by_document(rows):
     out = {}
     for r in sorted(rows, key=lambda r: r["piece"]):
