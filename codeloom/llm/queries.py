@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codeloom.llm import chat, decontaminate, exact, langid, licenses, linededup, minhash, packing, toxicity, urlfilter
+from codeloom.llm import chat, decontaminate, exact, langid, licenses, linededup, minhash, nearest, packing, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": minhash.query,
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": licenses.query,
     "op9_exact": exact.query,
     "op10_langid": langid.query,
+    "op11_nearest": nearest.query,
 }
 
 SQL: dict[str, str] = {
@@ -31,4 +32,5 @@ SQL: dict[str, str] = {
     "op6_chat": chat.SQL,
     "op7_linededup": linededup.SQL,
     "op9_exact": exact.SQL,
+    "op11_nearest": nearest.SQL,
 }

@@ -24,6 +24,6 @@ def plain_rows(df: DataFrame, *columns: str) -> list[tuple]:
 
 def duck_rows(sql: str, sf: str, columns: list[str]) -> list[tuple]:
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for table in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     return sorted(con.sql(f"SELECT {', '.join(columns)} FROM ({sql})").fetchall(), key=repr)
