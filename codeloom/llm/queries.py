@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codeloom.llm import chat, decontaminate, exact, langid, licenses, linededup, minhash, nearest, packing, toxicity, urlfilter
+from codeloom.llm import chat, decontaminate, exact, langid, licenses, linededup, minhash, nearest, packing, repair, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": minhash.query,
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact": exact.query,
     "op10_langid": langid.query,
     "op11_nearest": nearest.query,
+    "op12_repair": repair.query,
 }
 
 SQL: dict[str, str] = {
@@ -33,4 +34,5 @@ SQL: dict[str, str] = {
     "op7_linededup": linededup.SQL,
     "op9_exact": exact.SQL,
     "op11_nearest": nearest.SQL,
+    "op12_repair": repair.SQL,
 }
