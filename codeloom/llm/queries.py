@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codeloom.llm import chat, decontaminate, exact, langid, licenses, linededup, minhash, nearest, packing, repair, toxicity, urlfilter
+from codeloom.llm import chat, decontaminate, exact, langid, licenses, linededup, manifest, minhash, nearest, packing, repair, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": minhash.query,
@@ -24,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_langid": langid.query,
     "op11_nearest": nearest.query,
     "op12_repair": repair.query,
+    "op13_manifest": manifest.query,
 }
 
 SQL: dict[str, str] = {
@@ -35,4 +36,5 @@ SQL: dict[str, str] = {
     "op9_exact": exact.SQL,
     "op11_nearest": nearest.SQL,
     "op12_repair": repair.SQL,
+    "op13_manifest": manifest.SQL,
 }
