@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from codeloom.functions.parse import to_status
 from codeloom.functions.text import as_col, nullify, strip
 from codeloom.operators.ordering import first_per_key
+from codeloom.operators.skew import lookup_join
 
 # Level spellings of the transaction truth and their canonical form.
 TRANSACTION_LEVEL_MAPS: dict[str, dict[str, str | None]] = {
@@ -84,12 +85,12 @@ def apply_maps(df: DataFrame, maps: Mapping[str, Mapping[str, str | None]]) -> D
 def apply_map_table(df: DataFrame, column: str, table: DataFrame, source: str, target: str) -> DataFrame:
     """Same rule with a mapping held in a table; the key flag keeps "maps to null" apart from "unknown".
 
-    No broadcast hint: the planner broadcasts the table when its measured size allows it.
+    The planner broadcasts the table when its size allows it; beyond that, rows of a frequent value are dealt to many tasks.
     """
-    side = table.groupBy(F.col(source).alias("_from")).agg(F.max(target).alias("_to"), F.lit(True).alias("_known"))
-    joined = df.join(side, F.col(column) == F.col("_from"), "left")
+    side = table.groupBy(F.col(source).alias(column)).agg(F.max(target).alias("_to"), F.lit(True).alias("_known"))
+    joined = lookup_join(df, side, column)
     value = F.when(F.col("_known"), F.col("_to")).otherwise(F.col(column))
-    return joined.withColumn(column, value).drop("_from", "_to", "_known")
+    return joined.withColumn(column, value).select(*df.columns)
 
 
 def map_states(value: Column | str, states: Mapping[int, str]) -> Column:
@@ -129,10 +130,10 @@ def last_per_key(lookup: DataFrame, key: str, text: str, order: str) -> DataFram
 def lookup_text(
     df: DataFrame, code: str, lookup: DataFrame, key: str, text: str, order: str, fallbacks: Sequence[Column], out: str
 ) -> DataFrame:
-    """Lookup description with a fallback chain."""
-    side = last_per_key(lookup, key, text, order).select("_key", "_text")
-    joined = df.join(side, F.col(code) == F.col("_key"), "left")
-    return joined.withColumn(out, F.coalesce(F.col("_text"), *fallbacks)).drop("_key", "_text")
+    """Lookup description with a fallback chain. Rows of a frequent code do not meet in one task."""
+    side = last_per_key(lookup, key, text, order).select(F.col("_key").alias(code), "_text")
+    joined = lookup_join(df, side, code)
+    return joined.withColumn(out, F.coalesce(F.col("_text"), *fallbacks)).select(*[c for c in df.columns if c != out], out)
 
 
 def clean_artifacts(df: DataFrame, columns: Iterable[str], tokens: Iterable[str] = ("None", "nan")) -> DataFrame:

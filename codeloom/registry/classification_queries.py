@@ -626,8 +626,9 @@ def q_purpose_lob(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c_custkey").alias("CIF"),
         F.substring(F.lit("IBCPGNTEF"), F.col("c_nationkey") % 9 + 1, F.lit(1)).alias("CFCLAS"),
     )
-    joined = lob.accounts_with_customer_class(lob.with_purpose_lob(accounts, "PURCOD"), relationships, classes)
-    return joined.select("AccountNumber", "purpose_lob", "CFCLAS", "class_lob")
+    return lob.accounts_with_customer_class(
+        lob.with_purpose_lob(accounts, "PURCOD"), relationships, classes, ["AccountNumber", "purpose_lob"],
+    )
 
 
 @query("q_account_context", """
@@ -636,7 +637,7 @@ def q_account_context(spark: SparkSession, sf: str) -> DataFrame:
     """Account type brought to every transaction."""
     lines = v.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.concat(F.lit(" "), F.col("l_orderkey").cast("string")).alias("account"))
     accounts = v.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("internal"), F.col("o_orderstatus").alias("actype"))
-    joined = lob.transactions_with_account_type(lines, accounts, "account", "internal", "actype")
+    joined = lob.transactions_with_account_type(lines, accounts, "account", "internal", "actype", ["l_orderkey", "l_linenumber"])
     return joined.groupBy("l_orderkey", "l_linenumber", "actype").agg(F.count("*").alias("n"))
 
 
