@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codeloom.functions import parse, text
@@ -14,7 +14,7 @@ from codeloom.plans import account_history as history_plan
 from codeloom.plans import catalogs, ground_truth
 from codeloom.plans.uncategorized import uncategorized_catalog
 from codeloom.registry import views as v
-from codeloom.session import settle
+from codeloom.session import settle, work_dir
 from codeloom.sources import ragged
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
@@ -353,6 +353,23 @@ def q_ragged_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return ragged.repair_counts(lines, len(CSV_HEADER))
 
 
+@query("q_ragged_parallel", """
+SELECT CAST(doc_id AS VARCHAR) AS "A", lang AS "B", sha256(replace(text, chr(0), '')) AS "DESC1", source AS "DESC2", CAST(n_chars AS VARCHAR) AS "T2"
+FROM documents""")
+def q_ragged_parallel(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole documents with their line breaks as quoted fields of delimited files, cut into records by byte ranges and read back."""
+    def quoted(column: str) -> Column:
+        return F.concat(F.lit('"'), F.replace(column, F.lit('"'), F.lit('""')), F.lit('"'))
+
+    docs = v.table(spark, sf, "documents")
+    path = work_dir(spark, "ragged")
+    docs.select(F.concat_ws(
+        ",", F.col("doc_id").cast("string"), "lang", *[F.lit(c) for c in "cdef"], quoted("text"), quoted("source"), F.lit("t1"), F.col("n_chars").cast("string"),
+    ).alias("value")).write.text(path)
+    rows, _ = ragged.read_ragged(spark, path, CSV_HEADER, multiline=True)
+    return rows.select("A", "B", F.sha2("DESC1", 256).alias("DESC1"), "DESC2", "T2")
+
+
 @query("q_layer_assign", v.with_views("raw_codes gt_counts", f"""
 SELECT transaction_code, volume, {v.LAYER_CASE} AS layer FROM raw_codes LEFT JOIN gt_counts USING (transaction_code)"""))
 def q_layer_assign(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codeloom.functions.text import nullify
+from codeloom.sources import records
+from codeloom.sources.ragged import clean_line, split_line
 
 # Encoding of the headed and headerless sheets, and the cells that are read as null.
 ENCODING = "ISO-8859-1"
@@ -83,14 +85,15 @@ def read_positional(
 ) -> DataFrame:
     """Headerless sheet as columns c0..; ``sheet`` is the file and ``rn`` the row order within it.
 
-    ``rn`` follows the reading order: increasing within a file part, and parts of a file are read in
-    order of their offset. Cells with line breaks need ``multiline``, with which a sheet is read by one task.
+    ``rn`` grows within a file part, and parts of a file are read in order of their offset. Cells with line breaks need
+    ``multiline``: records are then found as described in ``records``, those of a large sheet by many tasks.
     """
     names = [f"c{i}" for i in range(width)]
-    df = (
-        spark.read.option("header", False).option("encoding", ENCODING).option("multiLine", multiline)
-        .option("quote", '"').option("escape", '"').schema(_text_schema(names)).csv(path)
-    )
+    if multiline:
+        found = records.read_records(spark, path, ENCODING).withColumn("_f", split_line(clean_line("value")))
+        cells = [nullify(F.get("_f", F.lit(i)), null_cells).alias(c) for i, c in enumerate(names)]
+        return found.select(F.col("file").alias("sheet"), (F.col("range") + F.col("line")).alias("rn"), *cells)
+    df = spark.read.option("header", False).option("encoding", ENCODING).option("quote", '"').option("escape", '"').schema(_text_schema(names)).csv(path)
     return df.select(
         F.col("_metadata.file_path").alias("sheet"), F.monotonically_increasing_id().alias("rn"),
         *[nullify(c, null_cells).alias(c) for c in names],

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codeloom.functions.text import as_col
+from codeloom.sources import records
 
 # The first six fields are always sound, two descriptions follow, the rest is sound again.
 FRONT = 6
@@ -18,11 +19,6 @@ DESCRIPTIONS = 2
 _FIELD = r',("[^"]*+(?:""[^"]*+)*+"(?=,|$)|[^,]*)'
 
 
-# A whole record: quoted fields may span lines, others end with the line.
-_QUOTED = r'"[^"]*+(?:""[^"]*+)*+"(?=[,\r\n]|$)'
-_RECORD = rf"(?:{_QUOTED}|[^,\n]*+)(?:,(?:{_QUOTED}|[^,\n]*+))*+"
-
-
 def clean_line(value: Column | str) -> Column:
     """Without NUL characters and without the carriage return of a DOS line end."""
     return F.regexp_replace(F.replace(as_col(value), F.lit("\x00"), F.lit("")), r"\r$", "")
@@ -91,16 +87,13 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Records of text files whose quoted fields may hold line breaks. A file is read whole, by one task."""
-    whole = spark.read.text(path, wholetext=True)
-    found = F.regexp_extract_all("value", F.lit(f"({_RECORD})(\n|$)"), F.lit(1))
-    return whole.select(F.explode(F.filter(found, lambda r: F.length(F.rtrim(r)) > 0)).alias("value"))
-
-
 def header_of(spark: SparkSession, path: str | Sequence[str], multiline: bool = False) -> list[str]:
     """Column names from the first line, or the first record."""
-    lines = read_records(spark, path) if multiline else read_lines(spark, path)
+    first_line = read_lines(spark, path).first()
+    if multiline and first_line is not None and first_line["value"].count('"') % 2:
+        lines = records.read_records(spark, path).orderBy("file", "range", "line").select("value")
+    else:
+        lines = read_lines(spark, path)
     first = lines.select(split_line(clean_line("value")).alias("f")).first()
     if first is None:
         raise ValueError(f"no lines in {path}")
@@ -111,7 +104,7 @@ def read_ragged(
     spark: SparkSession, path: str | Sequence[str], header: Sequence[str] | None = None, multiline: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects) of ragged files. Header lines are recognised by their content, so every file of
-    a pattern may carry one and files stay splittable. With ``multiline``, quoted fields may hold line breaks, and a file is
-    read by one task."""
+    a pattern may carry one and files stay splittable. With ``multiline``, quoted fields may hold line breaks; records are found
+    as described in ``records``, a large file by many tasks."""
     names = list(header) if header else header_of(spark, path, multiline)
-    return repair(read_records(spark, path) if multiline else read_lines(spark, path), names, skip_header=True)
+    return repair(records.read_records(spark, path).select("value") if multiline else read_lines(spark, path), names, skip_header=True)
