@@ -11,7 +11,7 @@ from codeloom.functions import parse, text
 from codeloom.functions.levels import TRANSACTION, layer_name
 from codeloom.operators import frequency, layers, normalize, ordering, profile
 from codeloom.plans import account_history as history_plan
-from codeloom.plans import catalogs, ground_truth
+from codeloom.plans import catalogs, ground_truth, incremental
 from codeloom.plans.uncategorized import uncategorized_catalog
 from codeloom.registry import views as v
 from codeloom.session import settle, work_dir
@@ -432,6 +432,34 @@ def q_transaction_catalog(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("q_catalog_incremental", f"""
+WITH f AS (SELECT lpad(CAST(100 + l_partkey % {len(v.TRANSACTION_TEXTS)} AS VARCHAR), 4, '0') AS code,
+                  {v.pick_sql(v.TRANSACTION_TEXTS, 'l_partkey')} || ' ' || l_returnflag || l_linestatus AS t, l_linenumber AS line
+           FROM lineitem WHERE l_orderkey % 10 <> 9),
+     texts AS (SELECT code, t, count(*) AS n, row_number() OVER (PARTITION BY code ORDER BY count(*) DESC, t) AS rn FROM f GROUP BY 1, 2),
+     lines AS (SELECT code, line, count(*) AS n, sum(count(*)) OVER (PARTITION BY code) AS total,
+                      row_number() OVER (PARTITION BY code ORDER BY count(*) DESC, line) AS rn FROM f GROUP BY 1, 2),
+     shown AS (SELECT code, '{{' || string_agg('"' || line || '": ' || CAST(round_even(n / total, 3) AS VARCHAR), ', ' ORDER BY rn) || '}}' AS lines
+               FROM lines WHERE rn <= 5 GROUP BY 1)
+SELECT code, CAST(sum(n) AS BIGINT) AS volume, {SAMPLES_SQL.format(t='t')} FILTER (rn <= 5) AS description_samples, any_value(lines) AS lines
+FROM texts JOIN shown USING (code) GROUP BY 1""")
+def q_catalog_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """A catalog loaded once and kept up by three deltas, the last of which takes back a tenth of what was loaded."""
+    number, day = F.col("l_partkey"), F.col("l_orderkey") % 10
+    feed = v.table(spark, sf, "lineitem").select(
+        F.lpad((F.lit(100) + number % len(v.TRANSACTION_TEXTS)).cast("string"), 4, "0").alias("TRANCD"),
+        F.concat_ws(" ", v.pick(v.TRANSACTION_TEXTS, number), F.concat("l_returnflag", "l_linestatus")).alias("EFHDS1"), "l_linenumber", day.alias("day"),
+    )
+    kinds = incremental.feed_kinds("EFHDS1", {"lines": F.col("l_linenumber")})
+    path = work_dir(spark, "catalog")
+    deltas = [(feed.filter("day NOT IN (7, 8)"), 1), (feed.filter("day = 7"), 1), (feed.filter("day = 8"), 1), (feed.filter("day = 9"), -1)]
+    for n, (rows, sign) in enumerate(deltas):
+        incremental.write_delta(incremental.signed_tally(rows, text.strip("TRANCD"), kinds, F.lit(sign)), path, n)
+        if n == 1:
+            incremental.compact(spark, path)
+    return incremental.catalog(incremental.merged(spark, path), shown={"lines": lambda value: value.try_cast("double")})
+
+
 @query("q_deposit_catalog", v.with_views("deposits types", f"""
 SELECT sccode AS product_code, count(*) AS account_count, coalesce(any_value(description), '(unknown)') AS product_name, 'Deposit' AS source_file
 FROM deposits LEFT JOIN types ON code = sccode
