@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codeloom.functions.levels import Levels
 from codeloom.functions.text import NULL_MARK, canon, strip
 
+# Truth paths of a code that one bitmap word holds.
+WORD = 64
+
 
 def supported_lob(truth: DataFrame, column: str, valid: Sequence[str]) -> DataFrame:
     """Truth rows with no line of business or a supported one."""
@@ -41,21 +43,51 @@ def truth_profile(truth: DataFrame, code: str, spec: Levels, extra: Sequence[str
     )
 
 
-def _agreement_keys(names: Sequence[str], masks: Sequence[tuple[int, ...]]) -> str:
-    """One key per mask: the values of the levels in it, everything else blank. Bit i of ``bits``
-    stands for level i. SQL text, because the array has many small parts."""
-    entries = []
-    for number, mask in enumerate(masks):
-        cells = ", ".join(f"'k{i}', {name if i in mask else repr('')}" for i, name in enumerate(names))
-        entries.append(f"named_struct('mask', {number}, 'bits', {sum(1 << i for i in mask)}, {cells})")
-    return f"array({', '.join(entries)})"
-
-
 def stated_columns(pairs: Sequence[tuple[str, str]]) -> dict[str, Column]:
-    """Canonical predicted values as columns: each is computed once, not once per subset."""
+    """Canonical predicted values as columns: each is computed once."""
     return {f"_p{i}": canon(p) for i, (p, _) in enumerate(pairs)}
 
 
+def path_bitmaps(truth: DataFrame, code: str, columns: Sequence[str]) -> DataFrame:
+    """Bitmap index of the distinct truth paths: per code and word of ``WORD`` paths, ``bits`` maps (level, value) to the paths that have it.
+
+    A row holds one word, so no row grows with the paths of its code.
+    """
+    paths = truth.select(code, *[canon(c).alias(f"t{i}") for i, c in enumerate(columns)]).distinct()
+    number = F.row_number().over(Window.partitionBy(code).orderBy(*[f"t{i}" for i in range(len(columns))])) - 1
+    placed = paths.withColumn("number", number).withColumn("word", F.expr(f"number div {WORD}"))
+    bit = F.expr(f"shiftleft(1L, number % {WORD})")
+    entries = F.inline(F.array(*[F.struct(_entry(i, F.col(f"t{i}")).alias("entry")) for i in range(len(columns))]))
+    sets = placed.select(code, "word", bit.alias("bit"), entries).groupBy(code, "word", "entry").agg(F.bit_or("bit").alias("paths"))
+    return sets.groupBy(code, "word").agg(F.map_from_entries(F.collect_list(F.struct("entry", "paths"))).alias("bits"))
+
+
+def _entry(level: int, value: Column) -> Column:
+    return F.concat(F.lit(f"{level}:"), value)
+
+
+def _largest_count(sets: Sequence[Column]) -> Column:
+    """The largest number of ``sets`` that share a bit: they are added up bit by bit in binary planes, one plane a digit of all counts."""
+    planes = [f"p{k}" for k in range(len(sets).bit_length())]
+
+    def add(sums: Column, carry: Column) -> Column:
+        out = []
+        for p in planes:
+            out.append(sums[p].bitwiseXOR(carry).alias(p))
+            carry = sums[p].bitwiseAND(carry)
+        return F.struct(*out)
+
+    def largest(sums: Column) -> Column:
+        left, best = F.lit(-1).cast("long"), F.lit(0)
+        for k in reversed(range(len(planes))):
+            now = left.bitwiseAND(sums[planes[k]])
+            best = best + F.when(now != 0, 1 << k).otherwise(0)
+            left = F.when(now != 0, now).otherwise(left)
+        return best
+
+    return F.aggregate(F.array(*sets), F.struct(*[F.lit(0).cast("long").alias(p) for p in planes]), add, largest)
+
+
 def best_agreement(
     stated: DataFrame, truth: DataFrame, code: str, pairs: Sequence[tuple[str, str]], decisive: int, lenient: bool
 ) -> DataFrame:
@@ -63,33 +95,21 @@ def best_agreement(
     code: ``best`` over the first ``decisive`` levels and ``best_all`` over all. ``stated`` holds the
     predictions with ``stated_columns``.
 
-    Comparing each prediction with each path would emit all pairs of a code. Instead both sides are
-    reduced to their distinct paths and list the level subsets they could agree on, and an equality
-    join on (code, subset, values) finds the agreements: the work is a fixed factor (2 to the number of
-    levels) of the distinct paths of each side. With ``lenient``, an empty truth level always agrees.
+    Comparing each prediction with each path would emit all pairs of a code. Instead a stated path meets the code's bitmap words, ``WORD``
+    paths at once: each level gives the set of paths that agree on it, and the sets are added up in binary planes. The work does
+    not grow with the subsets of levels. With ``lenient``, an empty truth level always agrees.
     """
-    positions = range(len(pairs))
-    masks = [m for size in range(len(pairs) + 1) for m in combinations(positions, size)]
-    keys = ["mask", *[f"k{i}" for i in positions]]
-    wanted = truth.select(code, *[canon(t).alias(f"t{i}") for i, (_, t) in enumerate(pairs)]).distinct()
-    offers = _agreement_keys([f"t{i}" for i in positions], masks)
-    free, free_decisive = F.lit(0), F.lit(0)
-    if lenient:
-        # Bit i of ``opened`` stands for an empty level i; a subset may demand only levels the truth fills.
-        opened = " + ".join(f"IF(t{i} = '{NULL_MARK}', {1 << i}, 0)" for i in positions)
-        offers = f"filter({offers}, a -> (a.bits & ({opened})) = 0)"
-        free, free_decisive = F.expr(f"bit_count({opened})"), F.expr(f"bit_count(({opened}) & {(1 << decisive) - 1})")
-    offered = wanted.select(code, free.alias("f"), free_decisive.alias("fd"), F.explode(F.expr(offers)).alias("a"))
-    hits, hits_decisive = F.expr("bit_count(a.bits)"), F.expr(f"bit_count(a.bits & {(1 << decisive) - 1})")
-    offered = offered.select(code, "a.*", (hits_decisive + F.col("fd")).alias("best"), (hits + F.col("f")).alias("best_all"))
-    offered = offered.groupBy(code, *keys).agg(F.max("best").alias("best"), F.max("best_all").alias("best_all"))
-    path = [f"_p{i}" for i in positions]
-    asked = stated.select(code, *path).distinct()
-    asked = asked.select(code, *path, F.explode(F.expr(_agreement_keys(path, masks))).alias("a"))
-    asked = asked.select(code, *path, *[F.col(f"a.{k}").alias(k) for k in keys])
-    return asked.join(offered, [code, *keys]).groupBy(code, *path).agg(
-        F.max("best").alias("best"), F.max("best_all").alias("best_all")
-    )
+    path = [f"_p{i}" for i in range(len(pairs))]
+    index = path_bitmaps(truth, code, [t for _, t in pairs])
+    met = stated.select(code, *path).distinct().join(index, code)
+
+    def agreeing(i: int) -> Column:
+        own = F.coalesce(F.try_element_at("bits", _entry(i, F.col(path[i]))), F.lit(0))
+        open_ = F.coalesce(F.try_element_at("bits", F.lit(f"{i}:{NULL_MARK}")), F.lit(0))
+        return own.bitwiseOR(open_) if lenient else own
+
+    sets = [agreeing(i) for i in range(len(pairs))]
+    return met.groupBy(code, *path).agg(F.max(_largest_count(sets[:decisive])).alias("best"), F.max(_largest_count(sets)).alias("best_all"))
 
 
 def with_agreement(

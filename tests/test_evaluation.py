@@ -52,6 +52,24 @@ def test_any_mapping_equals_brute_force(spark, spec):
     assert rows(got, "id", *flags) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("lenient", [False, True])
+def test_any_mapping_with_more_paths_than_a_word_holds(spark, lenient):
+    rng = random.Random(9)
+    letters = [None, *(f"v{i}" for i in range(9))]
+    truth = [("hot", *[rng.choice(letters) for _ in range(5)]) for _ in range(700)] + [("c", *["x"] * 5)] * 100
+    pred = [(i, rng.choice(["hot", "c", "none"]), *[rng.choice([*letters, "x"]) for _ in range(5)]) for i in range(120)]
+    p = spark.createDataFrame(pred, "id int, code string, " + ", ".join(f"{c} string" for c in PRODUCT.pred))
+    t = spark.createDataFrame(truth, "code string, " + ", ".join(f"{c} string" for c in PRODUCT.truth))
+    rule = globals()['lenient'] if lenient else strict
+    want = []
+    for i, code, *values in pred:
+        hits = [[rule(a, b) for a, b in zip(values, path)] for c, *path in truth if c == code]
+        want.append((i, max((sum(h[:3]) for h in hits), default=0), any(all(h) for h in hits)))
+    got = matching.with_agreement(p, t, PRODUCT, "code", lenient)
+    assert rows(got, "id", "best_levels_matched", "full_match_any") == sorted(want, key=repr)
+    assert matching.path_bitmaps(t, "code", PRODUCT.truth).filter("code = 'hot'").count() == 11
+
+
 def truth_frame(spark, data):
     return spark.createDataFrame(data, "transaction_code string, gt_desc string, gt_L1 string, gt_L2 string, gt_L3 string, gt_L4 string, o int")
 
