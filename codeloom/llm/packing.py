@@ -65,20 +65,25 @@ class Exchange:
         self.lengths, self.capacity = lengths, capacity
         self.bins = bins
         self.fills = np.array([int(lengths[b].sum()) for b in bins], np.int64)
+        # Only bins with room take part in exchanges, and full ones never get room again.
+        at = [i for i in np.flatnonzero(self.fills < capacity).tolist()]
+        self.pieces = np.array([p for i in at for p in bins[i]], np.int64)
+        self.owner = np.repeat(at, [len(bins[i]) for i in at]).astype(np.int64)
+        self.sizes = lengths[self.pieces]
+        self.place = {p: n for n, p in enumerate(self.pieces.tolist())}
 
     def run(self) -> list[list[int]]:
-        stuck: set[int] = set()
+        stuck = np.zeros(len(self.fills), bool)
         while True:
             rooms = np.where(self.fills > 0, self.capacity - self.fills, 0)
-            spare = rooms.sum() - rooms
-            able = [i for i in np.flatnonzero((self.fills > 0) & (self.fills <= spare)) if i not in stuck]
-            if not able:
+            able = np.flatnonzero((self.fills > 0) & (self.fills <= rooms.sum() - rooms) & ~stuck)
+            if not len(able):
                 return [b for b in self.bins if b]
-            source = min(able, key=lambda i: (self.fills[i], i))
+            source = int(able[np.argmin(self.fills[able])])
             if self._empty(source):
-                stuck.clear()
+                stuck[:] = False
             else:
-                stuck.add(source)
+                stuck[source] = True
 
     def _empty(self, source: int) -> bool:
         while self.bins[source]:
@@ -89,12 +94,14 @@ class Exchange:
     def _step(self, source: int) -> bool:
         """Hand over as much as one exchange can. Zero length stands for no piece in return."""
         rooms = self.capacity - self.fills
-        others = [i for i in np.flatnonzero((rooms > 0) & (self.fills >= self.fills[source]) & (self.fills > 0)) if i != source]
-        if not others:
+        able = (rooms > 0) & (self.fills >= self.fills[source]) & (self.fills > 0)
+        able[source] = False
+        others = np.flatnonzero(able)
+        if not len(others):
             return False
-        held = np.array([p for i in others for p in self.bins[i]])
-        owner = np.repeat(others, [len(self.bins[i]) for i in others])
-        sizes, room = self.lengths[held], rooms[owner]
+        taking = np.flatnonzero(able[self.owner])
+        held, owner, sizes = self.pieces[taking], self.owner[taking], self.sizes[taking]
+        room = rooms[owner]
         best = np.full(self.capacity + 1, -1, np.int64)
         np.maximum.at(best, sizes, room)
         best[0] = rooms[others].max()
@@ -114,20 +121,24 @@ class Exchange:
             return False
         given, back = chosen
         if back == 0:
-            target = min((i for i in others if rooms[i] >= gain), key=lambda i: rooms[i])
+            wide = others[rooms[others] >= gain]
+            target = int(wide[np.argmin(rooms[wide])])
         else:
             fits = np.flatnonzero((sizes == back) & (room >= gain))
             at = fits[np.argmin(room[fits])]
             target = int(owner[at])
-            self.bins[target].remove(held[at])
-            self.bins[source].append(int(held[at]))
+            self._move(int(held[at]), target, source)
         for p in given:
-            self.bins[source].remove(p)
-            self.bins[target].append(p)
+            self._move(p, source, target)
         self.fills[source] -= gain
         self.fills[target] += gain
         return True
 
+    def _move(self, piece: int, source: int, target: int) -> None:
+        self.bins[source].remove(piece)
+        self.bins[target].append(piece)
+        self.owner[self.place[piece]] = target
+
 
 def pack(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return Exchange(best_fit(lengths, capacity), lengths, capacity).run()
@@ -189,13 +200,16 @@ def pack_pieces(found: DataFrame, capacity: int = CAPACITY, shard_pieces: int =
     and may leave gaps. An empty table gives an empty result.
     """
     store = Store(found.sparkSession, "packing")
-    fields = T.StructType([*found.schema.fields, *(T.StructField(n, T.LongType()) for n in ("sequence_id", "offset", "_fill"))])
-    todo, done, rounds = store.keep(found), [], 0
+    fields = T.StructType([*found.schema.fields, *(T.StructField(n, T.LongType()) for n in ("_row", "sequence_id", "offset", "_fill"))])
+    # Written with the rows: deals out rows without a doc_id, and repeats of one, as evenly as all others.
+    todo, done, rounds = store.keep(found.withColumn("_row", F.monotonically_increasing_id())), [], 0
     count, opened = todo.count(), None
     while True:
         shards = max(1, -(-count // shard_pieces))
-        shard = F.pmod(F.xxhash64("doc_id", "piece", "start", F.lit(rounds)), F.lit(shards))
-        dealt = todo.withColumn("_shard", shard).repartition(min(shards, SHARD_TASKS), "_shard")
+        shard = F.pmod(F.xxhash64("_row", F.lit(rounds)), F.lit(shards)).cast("int")
+        sharded = todo.withColumn("_shard", shard)
+        # A task for each shard, or as many as there may be.
+        dealt = sharded.repartitionById(shards, "_shard") if shards <= SHARD_TASKS else sharded.repartition(SHARD_TASKS, "_shard")
         packed = store.keep(dealt.groupBy("_shard").applyInPandas(_pack_shard(capacity, rounds), fields))
         full = packed.filter(F.col("_fill") == capacity)
         loose = packed.filter(F.col("_fill") < capacity)
@@ -204,15 +218,15 @@ def pack_pieces(found: DataFrame, capacity: int = CAPACITY, shard_pieces: int =
             done.append(packed)
             break
         done.append(full)
-        todo, count, opened, rounds = loose.select(*found.columns), left, sequences, rounds + 1
+        todo, count, opened, rounds = loose.select(*found.columns, "_row"), left, sequences, rounds + 1
     whole = done[0]
     for more in done[1:]:
         whole = whole.unionByName(more)
-    return whole.drop("_fill")
+    return whole.drop("_fill", "_row")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents as pieces of packed sequences."""
+    """All documents as pieces of packed sequences. Rows without a doc_id and repeated rows are documents of their own, null texts empty ones."""
     return pack_pieces(token_pieces(docs))
 
 
