@@ -241,14 +241,15 @@ class Manifest:
         self.store = store = Store(docs.sparkSession, "manifest")
         recorded = leaf(F.col("text"))
         slim = docs.select("doc_id", F.col("source").alias("_group"), recorded.alias("digest"), (present if present is not None else recorded).alias("present"))
-        self.sources = Tree(store, ranked(store, slim, "_group", ["doc_id", "digest"]), levels)
+        # Written before it is dealt by ranges, which looks at its rows twice: texts are read and hashed once.
+        self.sources = Tree(store, ranked(store, store.keep(slim), "_group", ["doc_id", "digest"]), levels)
         tops = self.sources.tops.select(F.lit(0).alias("_group"), F.col("_group").alias("source"), F.col("subroot").alias("digest"))
         self.top = Tree(store, ranked(store, tops, "_group", ["source"]), levels)
         self.doc_kind, self.source_kind = (docs.schema[c].dataType.simpleString() for c in ("doc_id", "source"))
 
     def proofs(self) -> DataFrame:
         """doc_id, leaf, subroot, root, proof_sha256 (digest of all siblings, upwards, left to right) and folded_root, one row per row."""
-        root = self.top.tops.select(F.lit(0).alias("_group"), F.array().cast("array<string>").alias("path"), "subroot", F.col("subroot").alias("root"))
+        root = self.top.tops.select("_group", F.array().cast("array<string>").alias("path"), "subroot", F.col("subroot").alias("root"))
 
         def sources(group: pa.Array, nodes: pa.Array, paths: list, subroot: str, root: str) -> pa.RecordBatch:
             arrays = [nodes.field("source"), pa.array(paths, pa.list_(pa.string())), nodes.field("digest"), pa.array([root] * len(paths), pa.string())]
