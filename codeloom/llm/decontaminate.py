@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeloom.llm.tables import Store, bounded_side, read_table, without
+from codeloom.llm.tables import Store, bounded_side, read_table, text_mark, without
 
 WORDS = 5
 CONTAINMENT_PERCENT = 75
@@ -106,8 +106,12 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = CONTAINMENT_P
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no benchmark item."""
-    return without(docs, contaminated(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
+    """The documents that hold no benchmark item.
+
+    Every row is judged by its own text, rows without a doc_id and repeats of one too. An empty table stays empty; all columns stay.
+    """
+    rows = docs.select(F.struct("doc_id", text_mark().alias("mark")).alias("doc_id"), "text")
+    return without(docs, contaminated(rows, read_table(spark, sf_dir, "benchmark")).select("doc_id.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codeloom.llm.quotient import QuotientFilter
-from codeloom.llm.tables import Store, read_table, without
+from codeloom.llm.tables import Store, read_table, text_mark, without
 
 # Rows whose fingerprints share one merged filter (about 9 bytes a distinct fingerprint). Slices follow the number of rows.
 SLICE_ROWS = 2_000_000
@@ -69,10 +69,15 @@ def exact_duplicates(docs: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame
     counts as the empty text, and empty texts are equal to one another. Repeated rows count each; all rows that carry the
     doc_id that stays are kept. Rows without a doc_id give way to those with one; in a group without any id all stay.
     """
+    return _judged(docs, slice_rows).drop("mark")
+
+
+def _judged(docs: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """As ``exact_duplicates``, with the ``text_mark`` of every row."""
     store = Store(docs.sparkSession, "exact")
-    normal = docs.select("doc_id", normalized("text").alias("normal"))
+    normal = docs.select("doc_id", normalized("text").alias("normal"), text_mark().alias("mark"))
     marked = normal.withColumn("print", F.xxhash64("normal"))
-    slim = store.keep(marked.select("doc_id", "print", F.sha2("normal", 256).alias("text_sha256")))
+    slim = store.keep(marked.select("doc_id", "mark", "print", F.sha2("normal", 256).alias("text_sha256")))
     twice = store.keep(repeated_prints(slim, "print", slim.count(), slice_rows).select("print"))
     # Grouping by the text itself compares the bytes; copies of a task's rows shrink to one row before the shuffle.
     groups = (
@@ -83,13 +88,17 @@ def exact_duplicates(docs: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame
     keep = F.coalesce("low", "doc_id")
     return slim.join(groups, ["print", "text_sha256"], "left").select(
         "doc_id", keep.alias("keep_id"), F.coalesce("size", F.lit(1)).alias("group_size"),
-        F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256",
+        F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256", "mark",
     )
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of equal texts: the one with the smallest doc_id."""
-    return without(docs, exact_duplicates(docs).filter("not kept").select("doc_id").distinct())
+    """One document of every group of equal texts: the one with the smallest doc_id.
+
+    Every row is judged by itself: of a doc_id that occurs with several texts those go that an earlier document holds, and rows without a
+    doc_id go if a document with one holds their text. Repeated rows stay together. An empty table stays empty; all columns stay.
+    """
+    return without(docs, _judged(docs).filter("not kept"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codeloom.llm.arrowtext import code_points, pieces
-from codeloom.llm.tables import Store, bounded_side, read_table
+from codeloom.llm.tables import Shared, Store, bounded_side, read_table
 
 # The bound of the training sample of a language: documents, and letters taken from each at a place that its doc_id's hash names.
 SAMPLE_DOCS, SAMPLE_LETTERS = 80, 400
@@ -226,12 +226,13 @@ def identify(docs: DataFrame, languages: Languages, lang_as: str = "lang_pred",
     """
     docs = docs.drop(lang_as, score_as)
     fields = [T.StructField(lang_as, T.StringType()), T.StructField(score_as, T.DoubleType())]
-    shared = docs.sparkSession.sparkContext.broadcast(languages)
+    shared = Shared(docs.sparkSession, languages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.get()
         for batch in batches:
             for part in pieces(batch, "text", PARSE_BYTES):
-                named, share = judge(part.column("text"), shared.value)
+                named, share = judge(part.column("text"), own)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(named, pa.string()), pa.array(share)], names=[*part.schema.names, lang_as, score_as],
                 )

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from codeloom.llm.arrowtext import mix, pieces, random_numbers
 from codeloom.llm.buckets import Side, classes_of_buckets
 from codeloom.llm.shingles import shingle_sets
-from codeloom.llm.tables import Store, read_table, without
+from codeloom.llm.tables import Store, read_table, text_mark, without
 
 WORDS = 5
 SIMILARITY_PERCENT = 75
@@ -75,8 +75,8 @@ def _sketch_batches(words: int, bands: int, rows: int):
                 low = (made & np.uint64(2 ** _BITS - 1)).reshape(len(made), -1, _PER_NUMBER)
                 agree = (low << shifts).sum(axis=2)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(np.diff(starts)), pa.array(marks[0]), pa.array(marks[1]), _lists(keys), _lists(agree)],
-                    names=["doc_id", "n_shingles", "mark1", "mark2", "bands", "sketch"],
+                    [part.column("doc_id"), part.column("mark"), pa.array(np.diff(starts)), pa.array(marks[0]), pa.array(marks[1]), _lists(keys), _lists(agree)],
+                    names=["doc_id", "mark", "n_shingles", "mark1", "mark2", "bands", "sketch"],
                 )
 
     return run
@@ -142,11 +142,16 @@ def near_duplicates(
     classes whose smallest doc_id is the same count as linked. Rows without a doc_id take the component of equal texts, if any,
     and link nothing. An empty table gives an empty result.
     """
+    return _judged(docs, percent, words, bands, rows).drop("mark")
+
+
+def _judged(docs: DataFrame, percent: int = SIMILARITY_PERCENT, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """As ``near_duplicates``, with the ``text_mark`` of every row."""
     spark = docs.sparkSession
     store = Store(spark, "near")
-    sketched = store.keep(docs.select("doc_id", "text").mapInArrow(
+    sketched = store.keep(docs.select("doc_id", "text", text_mark().alias("mark")).mapInArrow(
         _sketch_batches(words, bands, rows),
-        "doc_id long, n_shingles long, mark1 long, mark2 long, bands array<long>, sketch array<long>",
+        "doc_id long, mark long, n_shingles long, mark1 long, mark2 long, bands array<long>, sketch array<long>",
     ))
     equal = ["n_shingles", "mark1", "mark2"]
     classes = store.keep(
@@ -170,7 +175,7 @@ def near_duplicates(
     )
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
     return sketched.drop("bands", "sketch").join(labelled, equal, "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"),
+        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "mark",
     )
 
 
@@ -183,8 +188,12 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, stor
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies: the one with the smallest doc_id."""
-    return without(docs, near_duplicates(docs).filter("not kept").select("doc_id").distinct())
+    """One document of every group of near copies: the one with the smallest doc_id.
+
+    Every row is judged by itself: of a doc_id that occurs with several texts each stays or goes on its own, and rows without a doc_id go
+    if a document with one has an equal text. Texts without words stay. An empty table stays empty; all columns stay.
+    """
+    return without(docs, _judged(docs).filter("not kept"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pickle
+from typing import Any
+
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codeloom.session import work_dir
@@ -45,6 +49,26 @@ def bounded_side(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
 
 
-def without(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose key is not among ``dropped``. Rows with a null key stay."""
-    return docs.join(dropped.select(F.col(key).alias("_dropped")), F.col(key) == F.col("_dropped"), "left_anti")
+class Shared:
+    """A value sent to all tasks as bytes that hold its classes too, so that executors need no copy of this package."""
+
+    def __init__(self, spark: SparkSession, value: Any):
+        self.sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get(self) -> Any:
+        """The value, made anew; once a task is enough."""
+        return pickle.loads(self.sent.value)
+
+
+def text_mark() -> Column:
+    """Tells rows of one doc_id apart by their texts."""
+    return F.xxhash64("text")
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id and ``text_mark`` are not together in a row of ``dropped`` (columns doc_id, mark).
+
+    Rows are judged one by one: a doc_id that occurs with several texts may keep some of them, and rows without a doc_id go like others.
+    """
+    gone = dropped.select(F.col("doc_id").alias("_dropped"), F.col("mark").alias("_mark")).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_dropped")) & (text_mark() == F.col("_mark")), "left_anti")

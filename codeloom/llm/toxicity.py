@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codeloom.llm.arrowtext import pieces
-from codeloom.llm.tables import Store, bounded_side, read_table
+from codeloom.llm.tables import Shared, Store, bounded_side, read_table
 
 THRESHOLD = 0.3
 # The bound of the sample that everything is fitted on: rows of each label, those with the smallest hash of their doc_id.
@@ -178,10 +178,10 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
 def _with_features(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """All columns and a vector _features; rows stay where they are."""
     schema = T.StructType([*docs.schema.fields, T.StructField("_list", T.ArrayType(T.DoubleType()))])
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+    shared = Shared(docs.sparkSession, lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = shared.get()
         for batch in batches:
             for part in pieces(batch, "text"):
                 values = [own.features(text) for text in part.column("text").to_pylist()]
@@ -241,7 +241,11 @@ def score(docs: DataFrame, model: Model, score_as: str = "score", predicted_as:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that are not toxic."""
+    """The documents that are not toxic.
+
+    Every row is judged by its own text, whatever its doc_id; null and empty texts by features of zero. Repeated rows share their fate; an
+    empty table stays empty, all columns stay.
+    """
     model = fit(docs, read_table(spark, sf_dir, "labels"))
     return score(docs, model, "_toxic_score", "_toxic").filter("_toxic = 0").drop("_toxic_score", "_toxic")
 

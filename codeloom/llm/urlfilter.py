@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from codeloom.llm.tables import read_table
+from codeloom.llm.tables import Shared, read_table
 
 ALLOW, BLOCK = "allow", "block"
 # Addresses that no rule fits.
@@ -102,12 +102,13 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] | DataFra
 
 
 def _by_trie(pages: DataFrame, rules: list) -> DataFrame:
-    trie = pages.sparkSession.sparkContext.broadcast(build_trie([tuple(r) for r in rules]))
+    trie = Shared(pages.sparkSession, build_trie([tuple(r) for r in rules]))
 
     @F.pandas_udf(T.StructType([T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())]))
     def match(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        root = trie.get()
         for hosts, paths in batches:
-            yield pd.DataFrame([longest_match(trie.value, h, p) for h, p in zip(hosts, paths)], columns=["rule", "verdict"])
+            yield pd.DataFrame([longest_match(root, h, p) for h, p in zip(hosts, paths)], columns=["rule", "verdict"])
 
     return pages.withColumn("_match", match("host", "path")).select(*pages.columns, "_match.rule", "_match.verdict")
 
