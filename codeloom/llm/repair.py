@@ -296,8 +296,8 @@ faults AS (
     trimmed <> '' AND NOT again AND right(trimmed, 1) NOT IN ('.', '!', '?') AS cut,
     n > 1 AND (before || role[1:1]) NOT IN ('su', 'ua', 'au') AS illegal FROM seen),
 counts AS (
-  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
-    count_if(duplicate) AS duplicate, count_if(cut) AS truncated, count_if(illegal) AS illegal FROM faults GROUP BY conv_id),
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+    count(*) FILTER (WHERE duplicate) AS duplicate, count(*) FILTER (WHERE cut) AS truncated, count(*) FILTER (WHERE illegal) AS illegal FROM faults GROUP BY conv_id),
 step(state, role, given, goal) AS (VALUES
   (0, 's', '', 1), (0, 'u', 'user', 2), (1, 'u', 'user', 2), (2, 'a', 'assistant', 3), (3, 'u', 'user', 2)),
 ins(state, goal, letters, price, out) AS (
