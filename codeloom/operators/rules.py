@@ -30,6 +30,7 @@ def word(pattern: str) -> str:
     return f"(^|[^a-z0-9])({pattern})([^a-z0-9]|$)"
 
 
+# Fixed values up to the rule tables below: names of levels, and the words and patterns that lead to them.
 NON_FEE, FEE = "Non-fee item", "Fee item"
 MOVE, OPS, NSF, MISC = "Money movement", "Account operations", "NSF/OD", "Misc"
 OTHERS, SERVICE, INTERCHANGE, UNCLASSIFIED = "All others", "Service Charges", "Interchange", "Unclassified"

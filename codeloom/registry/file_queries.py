@@ -98,8 +98,10 @@ def q_export_csv(spark: SparkSession, sf: str) -> DataFrame:
 SELECT s_suppkey, CASE WHEN s_suppkey % 4 > 0 THEN s_name END AS s_name, s_acctbal FROM supplier""")
 def q_insert_nulls(spark: SparkSession, sf: str) -> DataFrame:
     """A typed empty table filled by an insert that turns null tokens into nulls."""
+    # Every fourth row has one of the tokens, each in turn.
+    token = F.element_at(F.array(*map(F.lit, tables.INSERT_NULLS)), (F.expr("s_suppkey div 4") % len(tables.INSERT_NULLS) + 1).cast("int"))
     rows = v.table(spark, sf, "supplier").select(
-        "s_suppkey", F.when(F.col("s_suppkey") % 4 == 0, F.element_at(F.array(*map(F.lit, tables.INSERT_NULLS)), (F.col("s_suppkey") % 4 + 1).cast("int")))
+        "s_suppkey", F.when(F.col("s_suppkey") % 4 == 0, token)
         .otherwise(F.col("s_name")).alias("s_name"), "s_acctbal",
     )
     name = f"codeloom_inserted_{uuid.uuid4().hex}"

@@ -36,7 +36,8 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     bounds = [low + (high - low) * n / SLICES for n in range(1, SLICES)] if low else []
     for n in range(len(bounds) + 1):
         part = events.filter(F.col("ts") >= F.lit(bounds[n - 1])) if n else events
-        part = part.filter(F.col("ts") < F.lit(bounds[n])) if n < len(bounds) else part
+        # Events without a time come first.
+        part = part.filter(F.coalesce(F.col("ts") < F.lit(bounds[n]), F.lit(n == 0))) if n < len(bounds) else part
         part.coalesce(1).write.parquet(f"{folder}/{n}")
     return ingest.event_time(ingest.open_files(spark, f"{folder}/*/*.parquet", events.schema, per_trigger=1), "ts")
 
