@@ -13,6 +13,10 @@ from codeloom.llm.tables import Store
 Verify = Callable[[DataFrame], DataFrame]
 # Gives a column of one side of a pair by its name.
 Side = Callable[[str], Column]
+# Deals nodes into buckets again: (nodes with a column node, level from 1) to the columns of buckets.
+Finer = Callable[[DataFrame, int], DataFrame]
+# A mixed bucket of so many indexed nodes is compared pair by pair: a row costs at most as many pairs. Larger ones are dealt anew.
+CROWD = 8
 
 
 def classes_of_buckets(
@@ -70,3 +74,68 @@ def classes_of_buckets(
     final = store.keep(components(more, store))
     store.drop(second, grouped, links)
     return final, more
+
+
+def _with_class(rows: DataFrame, grouped: DataFrame | None) -> DataFrame:
+    if grouped is None:
+        return rows.withColumn("component", F.col("node"))
+    return rows.join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def classes_of_finer_buckets(
+    buckets: DataFrame, fits: Callable[[Column, Column], Column], verify: Verify, store: Store, finer: Finer | None,
+) -> DataFrame | None:
+    """As ``classes_of_buckets``, but a large bucket that still holds several classes is dealt anew instead of being compared in pairs.
+
+    ``finer`` gives buckets in which any two nodes that met before and are true links meet again, and fewer others do; at some
+    level no bucket may hold anything but links. So the work of a group that has a key in common and little else grows with its
+    rows, and no link is lost. Without ``finer`` all mixed buckets are compared in pairs.
+
+    Returns (node, component) for nodes with links, None if there are no links.
+    """
+    links, grouped, level = None, None, 0
+
+    def joined_up(pairs: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+        if pairs.isEmpty():
+            return links, grouped
+        found = verify(pairs)
+        every = store.keep(found if links is None else links.unionByName(found))
+        return every, store.keep(components(every, store))
+
+    while True:
+        entry = F.struct("node", "size", "component")
+        rows = _with_class(buckets, grouped)
+        heads = store.keep(
+            rows.groupBy("key").agg(
+                F.min(F.when(F.col("indexed"), entry)).alias("head"), F.min("component").alias("low"), F.max("component").alias("high"),
+            ).filter("head is not null and low < high").select("key", "head")
+        )
+        members = store.keep(
+            rows.join(heads, "key").groupBy("key", "node", "size", "component", "head").agg(F.max("indexed").alias("indexed"))
+        )
+        first = store.keep(
+            members.filter("component <> head.component").filter(fits(F.col("size"), F.col("head.size")))
+            .select(F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b")).distinct()
+        )
+        links, grouped = joined_up(first)
+
+        placed = store.keep(_with_class(members.drop("head", "component"), grouped))
+        mixed = store.keep(
+            placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count_if("indexed").alias("nodes"))
+            .filter("low < high").select("key", (F.col("nodes") > CROWD if finer else F.lit(False)).alias("crowded"))
+        )
+        open_rows = placed.join(mixed, "key")
+        left, right = open_rows.filter("not crowded").alias("l"), open_rows.filter("not crowded and indexed").alias("r")
+        meet = (F.col("l.key") == F.col("r.key")) & (F.col("l.component") != F.col("r.component")) & fits(F.col("l.size"), F.col("r.size"))
+        # Two indexed nodes meet in one order only.
+        meet &= ~F.col("l.indexed") | (F.col("l.node") < F.col("r.node"))
+        apart = left.join(right, meet).select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
+        second = store.keep(apart.join(first, ["a", "b"], "left_anti"))
+        links, grouped = joined_up(second)
+
+        crowd = store.keep(open_rows.filter("crowded").select("node").distinct())
+        store.drop(heads, members, first, placed, mixed, second)
+        if crowd.isEmpty():
+            return grouped
+        level += 1
+        buckets = store.keep(finer(crowd, level))
