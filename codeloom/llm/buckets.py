@@ -96,10 +96,10 @@ def classes_of_finer_buckets(
     links, grouped, level = None, None, 0
 
     def joined_up(pairs: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
-        if pairs.isEmpty():
+        found = None if pairs.isEmpty() else store.keep(verify(pairs))
+        if found is None or found.isEmpty():
             return links, grouped
-        found = verify(pairs)
-        every = store.keep(found if links is None else links.unionByName(found))
+        every = found if links is None else store.keep(links.unionByName(found))
         return every, store.keep(components(every, store))
 
     while True:
