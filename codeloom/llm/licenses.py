@@ -8,10 +8,12 @@ span is verified by the share of the template's words that its diagonals cover i
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from codeloom.llm.tables import read_table
+from codeloom.llm.tables import BROADCAST_ROWS, read_table
 
 # Phrases that count wherever all their words stand one after the other.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -46,13 +48,13 @@ def words_of(text: str) -> Column:
 
 
 def template_pairs(spark: SparkSession, phrases: dict[str, str], templates: tuple[tuple[str, str], ...]) -> DataFrame:
-    """Columns pair, template, at, pairs, label, exact: one row per word pair of a phrase or template. A few hundred rows."""
+    """Columns pair, template, at, pairs, label, exact: one row per word pair of a phrase or template, read as texts are."""
     texts = [(text, label, True) for text, label in phrases.items()] + [(text, label, False) for label, text in templates]
     named = F.array(*(
         F.struct(F.lit(i).alias("template"), F.lit(t).alias("text"), F.lit(label).alias("label"), F.lit(exact).alias("exact"))
         for i, (t, label, exact) in enumerate(texts)
     ))
-    rows = spark.range(1).select(F.inline(named)).withColumn("words", F.split("text", " "))
+    rows = spark.range(1).select(F.inline(named)).withColumn("words", words_of("text"))
     return rows.select(
         "template", "label", "exact", (F.size("words") - 1).alias("pairs"), F.posexplode(word_pairs("words")).alias("at", "pair"),
     )
@@ -72,15 +74,23 @@ def scan(
     """Spans: columns doc_id, text_key, label, exact, first, last, covered. Words count from 0; ``last`` is the start of the last
     place of an exact phrase, else the span's last word.
 
-    ``text_key`` tells texts of one doc_id apart; repeated rows give the same spans once.
+    ``text_key`` tells texts of one doc_id apart; repeated rows give the same spans once. Phrases and templates may have capitals and
+    punctuation, which count as little as in texts; one of fewer than two words has no pair and is refused.
     """
+    pairs_known = 0
+    for text in [*phrases, *(text for _, text in templates)]:
+        n_words = sum(word != "" for word in re.split(_WORD_BREAKS, text))
+        if n_words < 2:
+            raise ValueError(f"a phrase or template needs two words or more: {text!r}")
+        pairs_known += n_words - 1
     spark = docs.sparkSession
     worded = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), words_of("text").alias("_words"))
     pairs = worded.select("doc_id", "text_key", F.posexplode(word_pairs("_words")).alias("place", "pair"))
-    # The templates are constants of this module or short lists of a caller; the check keeps it so.
     known = template_pairs(spark, phrases, templates)
+    # Beyond the bound, Spark's own size check or a shuffle.
+    known = F.broadcast(known) if pairs_known <= BROADCAST_ROWS else known
     votes = (
-        pairs.join(F.broadcast(known), "pair")
+        pairs.join(known, "pair")
         .select("doc_id", "text_key", "template", "label", "exact", "pairs", "at", (F.col("place") - F.col("at")).alias("diagonal"))
         .groupBy("doc_id", "text_key", "template", "label", "exact", "pairs", "diagonal").agg(F.collect_set("at").alias("held"))
     )

@@ -59,6 +59,15 @@ def test_method_labels_stand_beside_base_ones(spark):
     assert row.base_labels == "cc-by" and row.labels == "cc-by,cc-by-nc" and row.score == 1.0
 
 
+def test_phrases_are_read_as_texts_are(spark):
+    docs = documents(spark, ["released under the mit license today", "Under The MIT-License", "under mit"])
+    found = licenses.scan(docs, {"The M.I.T. License": "dotted", "The MIT License!": "mit"}, ())
+    assert sorted((r.doc_id, r.label, r["first"]) for r in found.collect()) == [(0, "mit", 2), (1, "mit", 1)]
+    for phrases, templates in (({"mit": "mit"}, ()), ({}, (("x", " -- "),))):
+        with pytest.raises(ValueError):
+            licenses.scan(docs, phrases, templates)
+
+
 def test_repeated_and_missing_ids(spark):
     text = "all rights reserved"
     rows = plain_rows(licenses.label_documents(documents(spark, [text, text, "cc by", text], [1, 1, 1, None])), *COLUMNS)
