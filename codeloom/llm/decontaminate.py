@@ -21,7 +21,7 @@ WORDS = 5
 CONTAINMENT_PERCENT = 75
 MISS = 1e-6
 # Hashes for items of up to so many shingles; larger ones use the last number.
-SIZE_CLASSES = ((8, 8), (16, 12), (64, 16), (None, 24))
+SIZE_CLASSES = ((8, 10), (16, 12), (64, 16), (None, 24))
 
 
 def votes_needed(hashes: int, percent: int, miss: float = MISS) -> int:
