@@ -11,6 +11,7 @@ on the shingles themselves, as text.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,8 @@ from codeloom.llm.tables import Store, bounded_side, read_table, text_mark, with
 WORDS = 5
 CONTAINMENT_PERCENT = 75
 MISS = 1e-6
-# Hashes for items of up to so many shingles; larger ones use the last number.
-SIZE_CLASSES = ((8, 10), (16, 12), (64, 16), (None, 24))
+# Hashes for items of up to so many shingles; larger ones use the last number. A single shingle is its own smallest.
+SIZE_CLASSES = ((1, 1), (8, 10), (16, 12), (64, 16), (None, 24))
 
 
 def votes_needed(hashes: int, percent: int, miss: float = MISS) -> int:
@@ -40,27 +41,42 @@ def words_of(text: str) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def shingle_hashes(words: str, n: int = WORDS) -> Column:
-    """A 64-bit hash of every run of ``n`` words, in order; of the whole sequence if it is shorter; none without words."""
+def run_hashes(words: str, n: int) -> Column:
+    """A 64-bit hash of every run of ``n`` words, in order; none in a shorter text."""
     picked = ", ".join(f"{words}[i + {j}]" for j in range(n))
-    return F.expr(
-        f"case when size({words}) >= {n} then transform(sequence(0, size({words}) - {n}), i -> xxhash64({picked}))"
-        f" when size({words}) > 0 then array(xxhash64(concat_ws(' ', {words}), size({words}))) else array() end"
-    )
+    return F.expr(f"case when size({words}) >= {n} then transform(sequence(0, size({words}) - {n}), i -> xxhash64({picked})) else array() end")
 
 
-def shingle_texts(words: str, n: int = WORDS) -> Column:
-    """The same shingles as text, each once."""
+def run_texts(words: str, n: int) -> Column:
+    """The same runs as text."""
     return F.expr(
-        f"case when size({words}) >= {n} then"
-        f" array_distinct(transform(sequence(1, size({words}) - {n - 1}), i -> concat_ws(' ', slice({words}, i, {n}))))"
-        f" when size({words}) > 0 then array(concat_ws(' ', {words})) else array() end"
+        f"case when size({words}) >= {n} then transform(sequence(1, size({words}) - {n - 1}), i -> concat_ws(' ', slice({words}, i, {n})))"
+        " else array() end"
     )
 
 
+def of_item(runs: Callable[[str, int], Column]) -> Column:
+    """The distinct shingles of an item: its runs of five words, or the whole item if it has fewer; none without words."""
+    found = runs("_words", WORDS)
+    for n in range(1, WORDS):
+        found = F.when(F.size("_words") == n, runs("_words", n)).otherwise(found)
+    return F.array_distinct(found)
+
+
+def of_text(runs: Callable[[str, int], Column], lengths: Sequence[int]) -> Column:
+    """The distinct runs of a text, of every length that shingles of items have."""
+    return F.array_distinct(F.concat(*[runs("_words", n) for n in lengths]))
+
+
+def _lengths(tests: DataFrame) -> list[int]:
+    """The lengths of the items' shingles in words: at most five numbers, usually the five alone."""
+    found = tests.filter(F.size("_words") > 0).select(F.least(F.size("_words"), F.lit(WORDS)).alias("n")).distinct().collect()
+    return sorted(row.n for row in found) or [WORDS]
+
+
 def _sketches(items: DataFrame, percent: int) -> DataFrame:
     """Columns item_id, n, votes, h and hash, one row per item and hash of its size class: the item's smallest shingle h."""
-    distinct = items.select("item_id", F.explode(F.array_distinct(shingle_hashes("_words"))).alias("h")).distinct()
+    distinct = items.select("item_id", F.explode(of_item(run_hashes)).alias("h")).distinct()
     sized = distinct.join(distinct.groupBy("item_id").agg(F.count("*").alias("n")), "item_id")
     hashes, votes = F.lit(SIZE_CLASSES[-1][1]), F.lit(votes_needed(SIZE_CLASSES[-1][1], percent))
     for most, count in reversed(SIZE_CLASSES[:-1]):
@@ -74,27 +90,28 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = CONTAINMENT_P
     """Columns doc_id, item_id, n_shared, n_item, containment: the documents that hold an item, with every item they hold.
 
     A document holds an item if at least ``percent`` of the item's distinct shingles occur in it. Words are runs of letters and
-    digits in lower case. An item or text of fewer than five words is one shingle, so such an item is found only where it is
-    the whole text. Null, empty or wordless items and texts hold nothing and are in nothing. Rows of one doc_id count as one
+    digits in lower case. An item of fewer than five words is one shingle and is found wherever its words stand consecutively;
+    what a script without blanks writes between two punctuation marks is one word. Null, empty or wordless items and texts hold nothing and are in nothing. Rows of one doc_id count as one
     document, rows of one item_id as one item; rows without an id take no part. Other columns are ignored.
     """
     store = Store(docs.sparkSession, "benchmark")
     texts = docs.filter("doc_id is not null").select("doc_id", words_of("text").alias("_words"))
     tests = items.filter("item_id is not null").select("item_id", words_of("text").alias("_words"))
 
+    lengths = _lengths(tests)
     sketches = store.keep(_sketches(tests, percent))
-    probes = texts.select("doc_id", F.explode(shingle_hashes("_words")).alias("h"))
+    probes = texts.select("doc_id", F.explode(of_text(run_hashes, lengths)).alias("h"))
     hits = probes.join(bounded_side(sketches), "h").select("doc_id", "item_id", "votes", "hash").distinct()
     candidates = store.keep(
         hits.groupBy("doc_id", "item_id").agg(F.count("*").alias("found"), F.max("votes").alias("votes"))
         .filter("found >= votes").select("doc_id", "item_id")
     )
 
-    whole = store.keep(tests.select("item_id", F.explode(shingle_texts("_words")).alias("shingle")).distinct())
+    whole = store.keep(tests.select("item_id", F.explode(of_item(run_texts)).alias("shingle")).distinct())
     sizes = whole.groupBy("item_id").agg(F.count("*").alias("n_item"))
     held = texts.join(candidates.select("doc_id").distinct(), "doc_id", "left_semi")
     shared = (
-        held.select("doc_id", F.explode(shingle_texts("_words")).alias("shingle"))
+        held.select("doc_id", F.explode(of_text(run_texts, lengths)).alias("shingle"))
         .join(bounded_side(whole), "shingle").select("doc_id", "item_id", "shingle").distinct()
         .groupBy("doc_id", "item_id").agg(F.count("*").alias("n_shared"))
     )
@@ -123,9 +140,9 @@ WITH i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p
 q AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
   ELSE list_transform(range(1, len(ws) - 3), lambda k: array_to_string(ws[k:k + 4], ' ')) END) AS g FROM i),
 n AS (SELECT item_id, count(*) AS n_item FROM q GROUP BY item_id),
+m AS (SELECT DISTINCT least(len(ws), 5) AS m FROM i WHERE len(ws) > 0),
 t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS ws FROM documents),
-d AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-  ELSE list_transform(range(1, len(ws) - 3), lambda k: array_to_string(ws[k:k + 4], ' ')) END) AS g FROM t),
+d AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(ws) - m + 2), lambda k: array_to_string(ws[k:k + m - 1], ' '))) AS g FROM t, m),
 s AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN q USING (g) GROUP BY 1, 2)
 SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment FROM s JOIN n USING (item_id)
 WHERE 100 * n_shared >= 75 * n_item

@@ -9,18 +9,21 @@ from tests.llm.support import documents, duck_rows, plain_rows
 COLUMNS = ("doc_id", "item_id", "n_shared", "n_item", "containment")
 
 
-def shingles(text):
-    words = re.findall(r"[^\W_]+", (text or "").lower())
-    if not words:
-        return set()
-    return {tuple(words)} if len(words) < 5 else {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+def words(text):
+    return re.findall(r"[^\W_]+", (text or "").lower())
+
+
+def runs(found, n):
+    return {tuple(found[i:i + n]) for i in range(len(found) - n + 1)}
 
 
 def brute(texts, items, ids=None):
     out = []
     for i, text in enumerate(texts):
         for j, item in items:
-            own, there = shingles(item), shingles(text)
+            own = words(item)
+            n = min(5, len(own))
+            own, there = runs(own, n) if n else set(), runs(words(text), n)
             if own and 100 * len(own & there) >= 75 * len(own):
                 out.append(((ids or range(len(texts)))[i], j, len(own & there), len(own), len(own & there) / len(own)))
     return sorted(out, key=repr)
@@ -34,20 +37,31 @@ def run(spark, texts, items, clashing=True):
 def test_items_inside_long_documents(spark):
     rng = random.Random(2)
     vocabulary = [f"w{i}" for i in range(300)]
-    words = lambda n: [rng.choice(vocabulary) for _ in range(n)]
-    items = [(i, " ".join(words(rng.choice([2, 4, 5, 7, 12, 30, 120])))) for i in range(40)]
-    texts = [" ".join(words(rng.choice([0, 3, 50, 3000]))) for _ in range(40)]
+    some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [(i, " ".join(some(rng.choice([2, 4, 5, 7, 12, 30, 120])))) for i in range(40)]
+    texts = [" ".join(some(rng.choice([0, 3, 50, 3000]))) for _ in range(40)]
     for _ in range(120):
         item = rng.choice(items)[1].split(" ")
         cut = item[:max(1, int(len(item) * rng.choice([0.5, 0.75, 0.8, 0.9, 1])))]
         if rng.random() < 0.3:
             cut[rng.randrange(len(cut))] = "changed"
-        texts.append(" ".join(words(rng.choice([0, 40, 2000])) + cut + words(rng.choice([0, 40]))))
+        texts.append(" ".join(some(rng.choice([0, 40, 2000])) + cut + some(rng.choice([0, 40]))))
     texts += [None, "", "...", items[0][1].upper().replace(" ", ", "), "long " * 40_000]
     found = run(spark, texts, items)
     assert found == brute(texts, items) and len(found) > 25
 
 
+def test_short_items_as_consecutive_words(spark):
+    items = [(1, "capital of france"), (2, "Oslo"), (3, "one two three four"), (4, "\u4f60\u597d\u4e16\u754c"), (5, "!"), (6, None)]
+    texts = [
+        "tell me what is the capital of France, is it", "capital city of france", "oslo", "all roads lead to Oslo now or then",
+        "zero one two three four five", "one two three", "\u6211\u8bf4\u3002\u4f60\u597d\u4e16\u754c\u3002", "!", None,
+    ]
+    found = run(spark, texts, items)
+    assert found == brute(texts, items)
+    assert [(d, i) for d, i, *_ in found] == [(0, 1), (2, 2), (3, 2), (4, 3), (6, 4)]
+
+
 def test_votes_miss_less_than_asked():
     rng = random.Random(1)
     for hashes in (8, 12, 16, 24):
