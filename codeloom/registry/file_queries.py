@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeloom.operators import batching, taxonomy
+from codeloom.operators import batching, closure, taxonomy
 from codeloom.plans.uncategorized import uncategorized_catalog
 from codeloom.registry import views as v
 from codeloom.registry.catalog_queries import LOAN_CATALOG_SQL, product_catalog
@@ -122,6 +122,39 @@ def q_taxonomy_document(spark: SparkSession, sf: str) -> DataFrame:
     return taxonomy.document_paths(documents.read_document(spark, path)).select("l1", "l2").filter("l2 is not null").distinct()
 
 
+def _tree_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Places down to orders, parts by division of their numbers, and suppliers that name one another or nobody."""
+    def rows(name: str, node: str, parent: str, label: str) -> DataFrame:
+        return v.table(spark, sf, name).selectExpr(f"{node} as node", f"{parent} as parent", f"{label} as label")
+
+    return (
+        rows("region", "concat('R', r_regionkey)", "cast(null as string)", "r_name")
+        .unionByName(rows("nation", "concat('N', n_nationkey)", "concat('R', n_regionkey)", "n_name"))
+        .unionByName(rows("customer", "concat('C', c_custkey)", "concat('N', c_nationkey)", "c_name"))
+        .unionByName(rows("orders", "concat('O', o_orderkey)", "concat('C', o_custkey)", "o_orderstatus"))
+        .unionByName(rows("part", "concat('P', p_partkey)", "case when p_partkey >= 3 then concat('P', p_partkey div 3) end", "p_brand"))
+        .unionByName(rows("supplier", "concat('S', s_suppkey)", "concat('S', if(s_suppkey % 4 < 2, s_suppkey ^ 1, -s_suppkey))", "s_name"))
+    )
+
+
+@query("q_taxonomy_closure", """
+WITH RECURSIVE e AS (
+  SELECT 'R' || r_regionkey AS node, CAST(NULL AS VARCHAR) AS parent, r_name AS label FROM region
+  UNION ALL SELECT 'N' || n_nationkey, 'R' || n_regionkey, n_name FROM nation
+  UNION ALL SELECT 'C' || c_custkey, 'N' || c_nationkey, c_name FROM customer
+  UNION ALL SELECT 'O' || o_orderkey, 'C' || o_custkey, o_orderstatus FROM orders
+  UNION ALL SELECT 'P' || p_partkey, CASE WHEN p_partkey >= 3 THEN 'P' || (p_partkey // 3) END, p_brand FROM part
+  UNION ALL SELECT 'S' || s_suppkey, 'S' || CASE WHEN s_suppkey % 4 < 2 THEN xor(s_suppkey, 1) ELSE -s_suppkey END, s_name FROM supplier),
+w AS (
+  SELECT node, label AS path, 0 AS depth, CASE WHEN parent IS NOT NULL THEN 'orphan' END AS fault FROM e
+  WHERE parent IS NULL OR parent NOT IN (SELECT node FROM e)
+  UNION ALL SELECT e.node, w.path || ' > ' || e.label, w.depth + 1, w.fault FROM e JOIN w ON e.parent = w.node)
+SELECT node, path, depth, fault FROM w UNION ALL SELECT node, NULL, NULL, 'cycle' FROM e WHERE node NOT IN (SELECT node FROM w)""")
+def q_taxonomy_closure(spark: SparkSession, sf: str) -> DataFrame:
+    """Paths of a tree kept as parent-child rows, with its orphans and cycles."""
+    return closure.closure(_tree_rows(spark, sf)).withColumn("path", F.array_join("path", " > "))
+
+
 def _lines(catalog: DataFrame, line: Column) -> DataFrame:
     return catalog.select("product_code", line.alias("line"))
 
