@@ -25,6 +25,7 @@ def query(name: str, sql: str | None = None):
 
 # Micro-batches that the events arrive in.
 SLICES = 4
+HEADER = ["A", "B", "C", "D", "E", "F", "DESC1", "DESC2", "END"]
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
@@ -42,25 +43,38 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.event_time(ingest.open_files(spark, f"{folder}/*/*.parquet", events.schema, per_trigger=1), "ts")
 
 
-@query("q_stream_ingest", """
-SELECT CAST(conv_id AS VARCHAR) AS conv, count(*) AS n, count(*) FILTER (turn % 3 = 0) AS rejected FROM conversations GROUP BY 1""")
-def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Ragged lines of whole texts in several files, then picked up by a stream; every third turn also sends a line too short."""
-    source, out, bad = work_dir(spark, "lines"), work_dir(spark, "rows"), work_dir(spark, "rejects")
+def _ingested_turns(spark: SparkSession, sf: str) -> str:
+    """Every turn as a ragged line of its whole text, every third also as a line too short, in several files that a stream picks up."""
+    source, out = work_dir(spark, "lines"), work_dir(spark, "rows")
     flat = F.translate("text", "\n\r\"", "  ")
     conversations = v.table(spark, sf, "conversations")
     sound = F.concat_ws(",", F.col("conv_id").cast("string"), F.col("turn").cast("string"), "role", F.lit("d"), F.lit("e"), F.lit("f"), flat, F.lit("x"), F.lit("end"))
     short = F.when(F.col("turn") % 3 == 0, F.concat_ws(",", F.col("conv_id").cast("string"), F.lit("short")))
-    conversations.repartition(SLICES, "conv_id").select(F.explode(F.array_compact(F.array(sound, short)))).write.text(source)
-    header = ["A", "B", "C", "D", "E", "F", "DESC1", "DESC2", "END"]
-    rows, rejects = ingest.open_ragged(spark, source, header, per_trigger=1)
-    ingest.drain(rows, out, work_dir(spark, "state"))
-    ingest.drain(rejects, bad, work_dir(spark, "state"))
-    good = spark.read.schema(rows.schema).parquet(out).select(F.col("A").alias("conv"), F.lit(0).alias("bad"))
-    wrong = spark.read.schema(rejects.schema).parquet(bad).select(F.substring_index("line", ",", 1).alias("conv"), F.lit(1).alias("bad"))
+    # By turn as well: no conversation is one task's.
+    conversations.repartition(SLICES, "conv_id", "turn").select(F.explode(F.array_compact(F.array(sound, short)))).write.text(source)
+    ingest.ingest_ragged(spark, source, HEADER, out, work_dir(spark, "state"), per_trigger=1)
+    return out
+
+
+@query("q_stream_ingest", """
+SELECT CAST(conv_id AS VARCHAR) AS conv, count(*) AS n, count(*) FILTER (turn % 3 = 0) AS rejected FROM conversations GROUP BY 1""")
+def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Ragged lines of whole texts in several files, then picked up by a stream; every third turn also sends a line too short."""
+    rows, rejects = ingest.ingested(spark, _ingested_turns(spark, sf), HEADER)
+    good = rows.select(F.col("A").alias("conv"), F.lit(0).alias("bad"))
+    wrong = rejects.select(F.substring_index("line", ",", 1).alias("conv"), F.lit(1).alias("bad"))
     return good.unionByName(wrong).groupBy("conv").agg(F.count_if(F.col("bad") == 0).alias("n"), F.count_if(F.col("bad") == 1).alias("rejected"))
 
 
+@query("q_stream_repair_counts", """
+SELECT count(*) FILTER (commas = 0) AS sound, count(*) FILTER (commas > 0) AS repaired, count(*) FILTER (turn % 3 = 0) AS rejected
+FROM (SELECT turn, length(translate(text, chr(10) || chr(13) || '"', '  ')) - length(replace(translate(text, chr(10) || chr(13) || '"', '  '), ',', '')) AS commas
+      FROM conversations)""")
+def q_stream_repair_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines taken as they are, repaired and rejected, of a stream that is read once."""
+    return ingest.ingest_counts(spark, _ingested_turns(spark, sf))
+
+
 @query("q_stream_upsert", """
 SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def q_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:

@@ -43,6 +43,24 @@ def _split_once(lines: DataFrame, line: str, carry: Sequence[str]) -> DataFrame:
     return lines.select(*carry, F.col(line).alias("_line"), fields.alias("_f")).withColumn("_n", F.size("_f"))
 
 
+def _parts(lines: DataFrame, names: Sequence[str], line: str, carry: Sequence[str], skip_header: bool) -> DataFrame:
+    parts = _split_once(lines, line, carry)
+    if skip_header:
+        heading = F.array(*[F.lit(n) for n in names])
+        parts = parts.filter(~((F.col("_n") == len(names)) & (F.transform("_f", lambda f: F.trim(f)) == heading)))
+    return parts
+
+
+def _cells(names: Sequence[str]) -> dict[str, Column]:
+    """The columns of a line with enough fields."""
+    tail = len(names) - FRONT - DESCRIPTIONS
+    cells = [F.col("_f")[i] for i in range(FRONT)]
+    cells.append(F.array_join(F.slice("_f", F.lit(FRONT + 1), F.col("_n") - tail - FRONT - 1), ","))
+    cells.append(F.element_at("_f", -(tail + 1)))
+    cells.extend(F.element_at("_f", -(tail - i)) for i in range(tail))
+    return dict(zip(names, cells))
+
+
 def repair(
     lines: DataFrame, header: Sequence[str], line: str = "value", carry: Sequence[str] = (), skip_header: bool = False
 ) -> tuple[DataFrame, DataFrame]:
@@ -53,25 +71,30 @@ def repair(
     ``skip_header``, lines that repeat the header are dropped.
     """
     names = [c.strip() for c in header]
-    width = len(names)
-    tail = width - FRONT - DESCRIPTIONS
-    parts = _split_once(lines, line, carry)
-    if skip_header:
-        heading = F.array(*[F.lit(n) for n in names])
-        parts = parts.filter(~((F.col("_n") == width) & (F.transform("_f", lambda f: F.trim(f)) == heading)))
-    sound = parts.filter(F.col("_n") >= width)
-    n = F.col("_n")
-    cells = [F.col("_f")[i] for i in range(FRONT)]
-    cells.append(F.array_join(F.slice("_f", F.lit(FRONT + 1), n - tail - FRONT - 1), ","))
-    cells.append(F.element_at("_f", -(tail + 1)))
-    cells.extend(F.element_at("_f", -(tail - i)) for i in range(tail))
-    rows = sound.select(
-        *carry, *[c.alias(name) for c, name in zip(cells, names)], (n > width).alias("_repaired")
+    parts, n = _parts(lines, names, line, carry, skip_header), F.col("_n")
+    rows = parts.filter(n >= len(names)).select(
+        *carry, *[c.alias(name) for name, c in _cells(names).items()], (n > len(names)).alias("_repaired")
     )
-    rejects = parts.filter(n < width).select(*carry, F.col("_line").alias("line"), n.alias("fields"))
+    rejects = parts.filter(n < len(names)).select(*carry, F.col("_line").alias("line"), n.alias("fields"))
     return rows, rejects
 
 
+def repair_marked(
+    lines: DataFrame, header: Sequence[str], line: str = "value", carry: Sequence[str] = (), skip_header: bool = False
+) -> DataFrame:
+    """Rows and rejects of ``repair`` in one frame, for a source that is to be read once.
+
+    ``_rejected`` tells them apart. Rejects have their ``_line`` and ``_fields`` and null cells; rows have ``_repaired`` and neither.
+    """
+    names = [c.strip() for c in header]
+    parts, n = _parts(lines, names, line, carry, skip_header), F.col("_n")
+    short = n < len(names)
+    return parts.select(
+        *carry, *[F.when(~short, c).alias(name) for name, c in _cells(names).items()], F.when(~short, n > len(names)).alias("_repaired"),
+        F.when(short, F.col("_line")).alias("_line"), F.when(short, n).alias("_fields"), short.alias("_rejected"),
+    )
+
+
 def repair_counts(lines: DataFrame, width: int, line: str = "value") -> DataFrame:
     """Lines taken as they are, repaired and rejected."""
     n = F.col("_n")

@@ -113,3 +113,27 @@ def test_ragged_stream_equals_the_batch_reader(spark, tmp_path):
     want, wrong = ragged.repair(ragged.read_lines(spark, str(src)), header)
     assert rows(spark.read.parquet(f"{tmp_path}/good")) == rows(want)
     assert rows(spark.read.parquet(f"{tmp_path}/bad")) == rows(wrong)
+
+
+def test_rows_rejects_and_counters_of_one_reading(spark, tmp_path):
+    from codeloom.sources import ragged
+
+    src, out, state = tmp_path / "in", f"{tmp_path}/out", f"{tmp_path}/state"
+    src.mkdir()
+    header = ["A", "B", "C", "D", "E", "F", "D1", "D2", "T1", "T2"]
+    (src / "a.txt").write_text("1,2,3,4,5,6,x, y,z,t1,t2\n1,2,3\n\n")
+    (src / "b.txt").write_text("1,2,3,4,5,6,x,z,t1,t2\n" * 5)
+    first = ingest.ingest_ragged(spark, str(src), header, out, state, per_trigger=1)
+    (src / "c.txt").write_text("9,8\n7,2,3,4,5,6,x,z,t1,t2\n")
+    second = ingest.ingest_ragged(spark, str(src), header, out, state, per_trigger=1)
+    lines = ragged.read_lines(spark, str(src))
+    want, wrong = ragged.repair(lines, header)
+    good, rejects = ingest.ingested(spark, out, header)
+    assert good.columns == want.columns and rows(good) == rows(want)
+    assert rows(rejects) == rows(wrong) and rejects.count() == 3
+    assert rows(ingest.ingest_counts(spark, out)) == rows(ragged.repair_counts(lines, len(header))) == [(6, 1, 3)]
+    progress = [p for q in (first, second) for p in q.recentProgress if p["numInputRows"]]
+    # Every line is read once, though rows and rejects are both written.
+    assert [p["numInputRows"] for p in progress] == [3, 5, 2]
+    seen = [p["observedMetrics"]["repair"] for p in progress]
+    assert [(m["sound"], m["repaired"], m["rejected"]) for m in seen] == [(0, 1, 2), (5, 0, 0), (1, 0, 1)]
