@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,8 @@ from codeloom.functions.levels import PRODUCT, TRANSACTION, VALID_LOB, level_mat
 from codeloom.functions.text import path_label
 from codeloom.operators import audits, evaluation, inference, matching, ordering, taxonomy, versions
 from codeloom.registry import views as v
-from codeloom.session import settle
+from codeloom.session import settle, work_dir
+from codeloom.sources import tables
 from codeloom.registry.views import canon_sql, lenient_sql, strict_sql, with_views
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
@@ -83,6 +85,25 @@ def q_eval_l1(spark: SparkSession, sf: str) -> DataFrame:
     return layer_one(spark, sf).select("prompt_version", "transaction_code", "gt_desc", *FLAGS)
 
 
+# Buckets of the stored predictions and truths; both have the same number, so that they join bucket by bucket.
+BUCKETS = 8
+
+
+def _bucketed(df: DataFrame, label: str) -> DataFrame:
+    name = f"codeloom_{label}_{uuid.uuid4().hex}"
+    tables.save_bucketed(df, name, "transaction_code", BUCKETS, work_dir(df.sparkSession, label))
+    return tables.load(df.sparkSession, name)
+
+
+@query("q_eval_bucketed", with_views("pred gt_single", f"""WITH {L1_SQL.strip()}
+SELECT prompt_version, count(*) AS codes, CAST(sum(volume) AS BIGINT) AS weight, {_rates_sql(FLAGS, 'volume')} FROM l1 GROUP BY 1"""))
+def q_eval_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Accuracy by version from tables bucketed by code: only the figures of each version are moved."""
+    pred, truth = _bucketed(v.predictions(spark, sf), "pred"), _bucketed(v.truth(spark, sf), "truth")
+    matched = evaluation.layer_one(pred, truth, TRANSACTION, "transaction_code", ["gt_desc"], ORDER)
+    return evaluation.accuracy(matched, FLAGS, "volume", ["prompt_version"])
+
+
 @query("q_eval_l1_weighted", with_views("pred gt_single", f"""WITH {L1_SQL.strip()}
 SELECT prompt_version, count(*) AS codes, CAST(sum(volume) AS BIGINT) AS weight, {_rates_sql(FLAGS, 'volume')} FROM l1 GROUP BY 1"""))
 def q_eval_l1_weighted(spark: SparkSession, sf: str) -> DataFrame:
